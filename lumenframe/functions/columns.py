@@ -95,7 +95,7 @@ def not_prefixed(column: str, prefix: str) -> Column:
 
 def matches(column: str, pattern: str) -> Column:
     """Case-insensitive regular-expression search; NULL gives False."""
-    return F.coalesce(F.col(column).rlike("(?i)" + pattern), F.lit(False))
+    return F.coalesce(F.col(column).rlike("(?iu)" + pattern), F.lit(False))
 
 
 def contains_text(column: str, needle: str) -> Column:

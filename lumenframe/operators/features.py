@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.operators.ordered import exact_quantiles
+from lumenframe.operators.joins import small_or_shuffled
+from lumenframe.operators.ordered import exact_quantiles, with_position, with_running
 
 
 def scaling_moments(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,11 +58,9 @@ def quantile_bins(df: DataFrame, column: str, bins: int = 10, name: str | None =
 
 def label_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
     """Rank of each distinct value in sorted order, from 0."""
-    from lumenframe.operators.ordered import with_position
-
     distinct = df.select(column).filter(F.col(column).isNotNull()).distinct()
     codes = with_position(distinct, [column], name=name)
-    return df.join(codes, column, "left")
+    return df.join(small_or_shuffled(codes), column, "left")
 
 
 def unit_length(df: DataFrame, column: str, name: str = "unit", floor: float = 1e-10) -> DataFrame:
@@ -73,3 +74,23 @@ def centered(df: DataFrame, by: str, value: str, name: str = "deviation") -> Dat
     """Value minus the mean of its group. Means come from a pre-aggregated join, not a window."""
     means = df.groupBy(by).agg(F.avg(value).alias("_mean"))
     return df.join(means, by).withColumn(name, F.col(value) - F.col("_mean")).drop("_mean")
+
+
+def fit_pca(df: DataFrame, column: str, k: int, output: str = "components") -> PipelineModel:
+    """Centre, then project: Spark's PCA fits on centred rows but projects rows as they are."""
+    center = StandardScaler(inputCol=column, outputCol="_centered", withMean=True, withStd=False)
+    return Pipeline(stages=[center, PCA(k=k, inputCol="_centered", outputCol=output)]).fit(df)
+
+
+def explained_variance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """Variance share of each component and the running share; one row per component."""
+    shares = [float(x) for x in model.stages[-1].explainedVariance]
+    rows = [(i + 1, share, sum(shares[: i + 1])) for i, share in enumerate(shares)]
+    return spark.createDataFrame(rows, "component int, ratio double, cumulative double")
+
+
+def first_reaching(df: DataFrame, value: str, order: Sequence, threshold: float) -> DataFrame:
+    """Number of rows, in order, whose values sum up to ``threshold`` of the total; all rows, if never."""
+    running = with_running(df, order, {"_sum": value}, totals=True)
+    below = F.count_if(F.col("_sum") < F.lit(threshold) * F.col("_sum_total"))
+    return running.agg(F.least(below + 1, F.count(F.lit(1))).alias("needed"))
