@@ -188,25 +188,26 @@ def fit_kernel_svm(
         featuresCol="kernel", labelCol=label, regParam=1.0 / (c * n), maxIter=100, standardization=False
     ).fit(mapped)
     margins = margin_rows(svc.transform(mapped))
-    calibrated = LogisticRegression(featuresCol="margin", labelCol=label, probabilityCol="svm_probability").fit(margins)
+    calibrated = LogisticRegression(
+        featuresCol="margin",
+        labelCol=label,
+        predictionCol="calibrated",
+        rawPredictionCol="calibrated_raw",
+        probabilityCol="svm_probability",
+    ).fit(margins)
     mapped.unpersist()
     return gamma, svc, calibrated
 
 
 def margin_rows(scored: DataFrame) -> DataFrame:
-    kept = scored.drop("probability")
-    return kept.withColumn("margin", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
+    return scored.withColumn("margin", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
 
 
 def kernel_svm_predict(fitted: tuple[float, Model, Model], df: DataFrame, features: str = "features", size: int = 256):
     """Class from the sign of the margin, probability from the calibration."""
     gamma, svc, calibrated = fitted
     margins = margin_rows(svc.transform(with_random_features(df, features, gamma, size)))
-    margins = margins.withColumnRenamed("prediction", "svm_class").drop("rawPrediction")
-    scored = calibrated.transform(margins)
-    return scored.withColumn("prediction", F.col("svm_class")).withColumn(
-        "positive", vector_to_array("svm_probability")[1]
-    )
+    return calibrated.transform(margins).withColumn("positive", vector_to_array("svm_probability")[1])
 
 
 # --- use and inspection -----------------------------------------------------------------
@@ -282,7 +283,7 @@ def cross_validate(
     """Mean and population deviation of the score over the folds."""
     fitted = cross_validator(estimator, [{}], folds, label, metric).fit(with_folds(df, id_column, folds))
     # CrossValidatorModel.stdMetrics is already the population deviation over the folds.
-    return fitted.avgMetrics[0], fitted.stdMetrics[0]
+    return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
 
 
 def grid_search(

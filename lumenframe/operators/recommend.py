@@ -130,7 +130,7 @@ def _block_candidates(
         .select(F.least("block", "_bb").alias("low"), F.greatest("block", "_bb").alias("high"), "a", "b", "similarity")
     )
 
-    def best(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def best(key, left, right):
         low, high = key
         rows_a = np.union1d(left.loc[left["block"] == low, "a"].to_numpy(), [])
         rows_b = np.union1d(left.loc[left["block"] == high, "a"].to_numpy(), [])
@@ -351,7 +351,7 @@ def blocked_scores(users: DataFrame, items: DataFrame, seen: DataFrame, n: int,
         )
     )
 
-    def best(key, people: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+    def best(key, people, other):
         empty = pd.DataFrame({"user_id": [], "item_id": [], "score": []})
         catalog = other[other["user_id"].isna()].sort_values("item_id", ascending=False)
         if people.empty or catalog.empty:

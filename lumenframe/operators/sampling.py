@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 from lumenframe.operators.ordered import with_position
 
 
+def multiplier(seed: int) -> int:
+    """Odd 32-bit factor of the hash. Another seed gives another factor, not a shifted key."""
+    return (2654435761 + 81006 * seed) % 4294967296 | 1
+
+
 def split_key(id_column: str, seed: int = 42) -> Column:
     """Multiplicative hash of an integer id to [0, 2**32); the reduced id cannot overflow a long."""
     reduced = F.pmod(F.col(id_column).cast("long"), F.lit(2147483648))
-    return F.pmod(reduced * F.lit(2654435761) + F.lit(seed), F.lit(4294967296))
+    return F.pmod(reduced * F.lit(multiplier(seed)), F.lit(4294967296))
 
 
 def random_split(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sales", "listings", "series", "scoring", "ratings", "texts", "vectors", "files", "training")
+MODULES = ("sales", "listings", "series", "scoring", "ratings", "texts", "vectors", "files", "training", "streams")
 
 
 def load_all() -> None:

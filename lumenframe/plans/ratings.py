@@ -10,11 +10,11 @@ from lumenframe.operators import sampling, stats
 from lumenframe.operators.joins import lookup, without
 from lumenframe.plans.registry import query
 from lumenframe.plans.sales import rounded
-from lumenframe.plans.views import RATINGS, SPLIT_KEY_SQL, ratings
+from lumenframe.plans.views import RATINGS, ratings, split_key_sql
 from lumenframe.session import checkpoint
 from lumenframe.sources.readers import read_table
 
-KEY = SPLIT_KEY_SQL.format(id="user_id * 1000003 + item_id", seed=42)
+KEY = split_key_sql("user_id * 1000003 + item_id")
 SPLIT = RATINGS + f""",
 train AS (SELECT * FROM ratings WHERE {KEY} >= 858993459),
 test AS (SELECT * FROM ratings WHERE {KEY} < 858993459)"""

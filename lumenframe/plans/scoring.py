@@ -11,9 +11,9 @@ from lumenframe.plans.listings import histogram_sql, shown
 from lumenframe.plans.registry import query
 from lumenframe.plans.sales import rounded
 from lumenframe.plans.series import PREDICTED, predicted
-from lumenframe.plans.views import LABELLED, SCORED, SPLIT_KEY_SQL, labelled, scored
+from lumenframe.plans.views import LABELLED, SCORED, labelled, scored, split_key_sql
 
-KEY = SPLIT_KEY_SQL.format(id="id", seed=42)
+KEY = split_key_sql("id")
 FLAGGED = SCORED + ", flagged AS (SELECT *, CAST(score >= 150 AS INTEGER) AS pred FROM scored)"
 
 

@@ -11,7 +11,7 @@ from lumenframe.operators import stats, texts, topics
 from lumenframe.plans.listings import histogram_sql, shown
 from lumenframe.plans.registry import query
 from lumenframe.plans.sales import rounded
-from lumenframe.plans.views import REVIEWS, SPLIT_KEY_SQL, reviews
+from lumenframe.plans.views import REVIEWS, reviews, split_key_sql
 from lumenframe.sources.readers import read_table
 
 STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + "]"
@@ -297,10 +297,10 @@ def t5_dominant_topic(spark, sf):
 COHERENCE = f"""{TOPIC_WEIGHTS}, {TOP.format(n=10)},
   h AS (SELECT DISTINCT doc_id, t.topic, rank FROM counts JOIN top t USING (term)),
   s AS (SELECT topic, rank AS i, count(*) AS docs FROM h GROUP BY ALL),
-  p AS (SELECT x.topic, x.rank AS i, y.rank AS j, count(*) AS both FROM h x JOIN h y
+  p AS (SELECT x.topic, x.rank AS i, y.rank AS j, count(*) AS n_both FROM h x JOIN h y
     ON x.doc_id = y.doc_id AND x.topic = y.topic AND x.rank < y.rank GROUP BY ALL),
   w AS (SELECT x.topic, x.rank AS i, y.rank AS j FROM top x JOIN top y ON x.topic = y.topic AND x.rank < y.rank),
-  coh AS (SELECT w.topic, avg(coalesce(both, 0) / docs) AS coherence FROM w JOIN s ON s.topic = w.topic AND s.i = w.i
+  coh AS (SELECT w.topic, avg(coalesce(n_both, 0) / docs) AS coherence FROM w JOIN s ON s.topic = w.topic AND s.i = w.i
     LEFT JOIN p ON p.topic = w.topic AND p.i = w.i AND p.j = w.j GROUP BY w.topic)"""
 
 
@@ -325,7 +325,7 @@ def j8_cooccurrence(spark, sf):
     return topics.cooccurrence(doc_terms, PAIR_WORDS)
 
 
-KEY = SPLIT_KEY_SQL.format(id="doc_id", seed=42)
+KEY = split_key_sql("doc_id")
 
 
 def share_sql(source: str, row: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenframe.operators.sampling import multiplier
 from lumenframe.sources.readers import read_table
 
 
@@ -110,7 +111,9 @@ ratings AS (
 )"""
 
 # Split key: multiplicative hash of the id, the same arithmetic in both engines.
-SPLIT_KEY_SQL = "((({id}) % 2147483648) * 2654435761 + {seed}) % 4294967296"
+def split_key_sql(id_column: str, seed: int = 42) -> str:
+    return f"((({id_column}) % 2147483648) * {multiplier(seed)}) % 4294967296"
+
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
