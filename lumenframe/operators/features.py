@@ -38,6 +38,17 @@ def standardize(df: DataFrame, columns: Sequence[str], train: DataFrame | None =
     return with_moments.withColumns(scaled).drop("_m")
 
 
+def standardize_array(df: DataFrame, column: str, train: DataFrame | None = None, name: str | None = None) -> DataFrame:
+    """:func:`standardize` for every position of an array column; one array of moments, however wide."""
+    cells = (train if train is not None else df).select(F.posexplode(column).alias("position", "value"))
+    value = F.col("value").cast("double")
+    moments = cells.groupBy("position").agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
+    scale = F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std"))
+    packed = moments.agg(F.array_sort(F.collect_list(F.struct("position", "mean", scale.alias("std"))))).scalar()
+    scaled = F.zip_with(F.col(column), F.col("_m"), lambda x, m: (x.cast("double") - m["mean"]) / m["std"])
+    return df.withColumn("_m", packed).withColumn(name or column, scaled).drop("_m")
+
+
 def quantile_bins(df: DataFrame, column: str, bins: int = 10, name: str | None = None) -> DataFrame:
     """Equal-count bins with right-closed edges at the exact quantiles; equal edges merge.
 

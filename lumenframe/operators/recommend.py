@@ -59,7 +59,7 @@ def _closeness() -> Column:
 
 
 def top_neighbours(
-    ratings: DataFrame, axis: str, k: int = 40, hot: int = 2000, block_entries: int = 200_000
+    ratings: DataFrame, axis: str, k: int = 40, hot: int = 500, block_entries: int = 200_000
 ) -> DataFrame:
     """The ``k`` nearest neighbours by |cosine| of centred ratings: ``a, b, similarity``.
 
@@ -121,24 +121,32 @@ def _block_candidates(
     # Every block meets every block not before it: (low, high) with low <= high.
     meets = F.explode(F.sequence(F.lit(0).cast("long"), last))
     entries = owned.withColumn("_with", meets).select(
-        F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "a", "c", "weight", "block"
+        F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), F.col("a").alias("row"),
+        F.col("c").alias("column"), F.col("weight").alias("value"), F.col("block").alias("own"),
     )
     side = blocks.withColumnsRenamed({"a": "b", "block": "_bb"})
     known = (
         pairs.join(blocks, "a")
         .join(side, "b")
-        .select(F.least("block", "_bb").alias("low"), F.greatest("block", "_bb").alias("high"), "a", "b", "similarity")
+        .select(
+            F.least("block", "_bb").alias("low"),
+            F.greatest("block", "_bb").alias("high"),
+            F.col("a").alias("one"),
+            F.col("b").alias("two"),
+            F.col("similarity").alias("light"),
+        )
     )
 
     def best(key, left, right):
         low, high = key
-        rows_a = np.union1d(left.loc[left["block"] == low, "a"].to_numpy(), [])
-        rows_b = np.union1d(left.loc[left["block"] == high, "a"].to_numpy(), [])
-        parts = [right[["a", "b", "similarity"]]]
+        right = right[["one", "two", "light"]].set_axis(["a", "b", "similarity"], axis=1)
+        rows_a = np.unique(left.loc[left["own"] == low, "row"].to_numpy())
+        rows_b = np.unique(left.loc[left["own"] == high, "row"].to_numpy())
+        parts = [right]
         if len(rows_a) and len(rows_b):
-            columns, place = np.unique(left["c"].to_numpy(), return_inverse=True)
+            columns, place = np.unique(left["column"].to_numpy(), return_inverse=True)
             sim = np.zeros((len(rows_a), len(rows_b)))
-            ids, value, own = left["a"].to_numpy(), left["weight"].to_numpy(), left["block"].to_numpy()
+            ids, value, own = left["row"].to_numpy(), left["value"].to_numpy(), left["own"].to_numpy()
             step = 2048
             for start in range(0, len(columns), step):
                 here = (place >= start) & (place < start + step)

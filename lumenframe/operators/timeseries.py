@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.operators.joins import small_or_shuffled
 from lumenframe.operators.ordered import exact_quantiles, with_position
+from lumenframe.session import checkpoint
 
 CHUNK_ROWS = 500_000
 
@@ -70,17 +71,19 @@ def interpolate(
     edges = placed.groupBy(*by, "_chunk").agg(F.min(known).alias("_first"), F.max(known).alias("_last"))
     chunks = Window.partitionBy(*by).orderBy("_chunk")
     earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    later = chunks.rowsBetween(1, Window.unboundedFollowing)
+    # Looking ahead is looking back in descending order: frames that only grow cost one step per row.
+    later = Window.partitionBy(*by).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
         *by,
         "_chunk",
         F.last("_last", ignorenulls=True).over(earlier).alias("_from"),
-        F.first("_first", ignorenulls=True).over(later).alias("_to"),
+        F.last("_first", ignorenulls=True).over(later).alias("_to"),
     )
     rows = placed.join(carried, [*by, "_chunk"])
     ordered = Window.partitionBy(*by, "_chunk").orderBy("_pos")
     before = F.last(known, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(known, ignorenulls=True).over(ordered.rowsBetween(0, Window.unboundedFollowing))
+    backwards = Window.partitionBy(*by, "_chunk").orderBy(F.desc("_pos"))
+    after = F.last(known, ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumns(
         {"_before": F.coalesce(before, F.col("_from")), "_after": F.coalesce(after, F.col("_to"))}
     )
@@ -100,7 +103,9 @@ def fill_leading(
 ) -> DataFrame:
     """Remaining NULLs take the exact median of the series (of ``train`` rows only, if given)."""
     by = list(by)
-    medians = exact_quantiles(train if train is not None else df, [value], [0.5], by)
+    if train is None:
+        train = df = checkpoint(df)  # read twice: for the medians and for the rows
+    medians = exact_quantiles(train, [value], [0.5], by)
     if not by:
         filled = F.coalesce(F.col(value), medians.agg(F.max("value")).scalar())
         return df.withColumn(name or value, filled)

@@ -10,6 +10,7 @@ from lumenframe.operators import rfm as seg
 from lumenframe.operators import stats
 from lumenframe.plans.registry import query
 from lumenframe.plans.views import RFM, SALES, sales
+from lumenframe.session import checkpoint
 
 SEGMENTS = {0: "Champions", 1: "Lost", 2: "New/Promising"}
 
@@ -89,7 +90,7 @@ def e1_rfm(spark, sf):
            round(least(greatest(monetary, ml), mh), 4) AS monetary FROM rfm, b""",
 )
 def w7_capped_rfm(spark, sf):
-    return rounded(seg.cap_outliers(rfm_table(spark, sf), seg.METRICS), 4, *seg.METRICS)
+    return rounded(seg.cap_outliers(checkpoint(rfm_table(spark, sf)), seg.METRICS), 4, *seg.METRICS)
 
 
 @query(
@@ -103,7 +104,7 @@ def w7_capped_rfm(spark, sf):
     FROM long GROUP BY 1""",
 )
 def e2_describe_rfm(spark, sf):
-    return rounded(stats.describe(rfm_table(spark, sf), seg.METRICS), 4, "mean", "std", "q1", "median", "q3")
+    return rounded(stats.describe(checkpoint(rfm_table(spark, sf)), seg.METRICS), 4, "mean", "std", "q1", "median", "q3")
 
 
 @query(
@@ -164,7 +165,7 @@ def e5_kpis(spark, sf):
       round(median(monetary), 4) AS median FROM rfm""",
 )
 def e6_monetary_range(spark, sf):
-    return rounded(stats.range_summary(rfm_table(spark, sf), "monetary"), 4, "mean", "median")
+    return rounded(stats.range_summary(checkpoint(rfm_table(spark, sf)), "monetary"), 4, "mean", "median")
 
 
 @query(
@@ -217,7 +218,7 @@ def c15_select_rename(spark, sf):
 def k3_name_clusters(spark, sf):
     from lumenframe.operators.features import standardize
 
-    scaled = standardize(clustered(spark, sf), seg.METRICS)
+    scaled = standardize(checkpoint(clustered(spark, sf)), seg.METRICS)
     centers = scaled.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in seg.METRICS])
     named = seg.name_segments(centers, ["Champions", "Loyal", "At Risk", "Lost"])
     return named.select("cluster", "segment")

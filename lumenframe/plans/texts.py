@@ -12,7 +12,8 @@ from lumenframe.plans.listings import histogram_sql, shown
 from lumenframe.plans.registry import query
 from lumenframe.plans.sales import rounded
 from lumenframe.plans.views import REVIEWS, reviews, split_key_sql
-from lumenframe.sources.readers import read_table
+from lumenframe.session import checkpoint
+from lumenframe.sources.readers import read_table, spread
 
 STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + "]"
 
@@ -34,7 +35,7 @@ def words_sql(text: str) -> str:
 
 
 def documents(spark, sf):
-    return read_table(spark, sf, "documents")
+    return spread(read_table(spark, sf, "documents"))
 
 
 @query("x1t_clean_text", f"SELECT doc_id, array_to_string({cleaned_sql('text')}, ' ') AS cleaned FROM documents")
@@ -87,7 +88,8 @@ COUNTS = f"""tok AS (SELECT doc_id, lang, {words_sql('text')} AS t FROM document
 
 
 def counts(spark, sf):
-    return texts.term_counts(documents(spark, sf), "doc_id", tx.word_tokens("text", ENGLISH), ["lang"])
+    """Term counts, written once: the vocabulary and the weights both read them."""
+    return checkpoint(texts.term_counts(documents(spark, sf), "doc_id", tx.word_tokens("text", ENGLISH), ["lang"]))
 
 
 @query(
@@ -110,7 +112,7 @@ VOCAB = f"""{COUNTS}, vocab AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIG
 
 
 def vocab(spark, sf, df):
-    return texts.vocabulary(df, documents(spark, sf), 2000, 5, 0.8)
+    return texts.vocabulary(df, read_table(spark, sf, "documents"), 2000, 5, 0.8)
 
 
 @query("x6t_vocabulary", f"WITH {VOCAB} SELECT * FROM vocab")
@@ -126,7 +128,7 @@ def tfidf_sql(tf: str) -> str:
 
 def weights(spark, sf, sublinear=False):
     df = counts(spark, sf)
-    return texts.tfidf(df, vocab(spark, sf, df), documents(spark, sf), sublinear=sublinear)
+    return texts.tfidf(df, vocab(spark, sf, df), read_table(spark, sf, "documents"), sublinear=sublinear)
 
 
 @query("x7t_tfidf", f"WITH {tfidf_sql('tf')} SELECT doc_id, term, round(weight, 6) AS weight FROM weights")
@@ -216,7 +218,7 @@ NB = f"""{tfidf_sql('tf')}, {REVIEWS},
 
 def labelled_weights(spark, sf):
     labels = reviews(spark, sf).select("doc_id", "label")
-    return weights(spark, sf).select("doc_id", "term", "weight").join(labels, "doc_id")
+    return checkpoint(weights(spark, sf).select("doc_id", "term", "weight").join(labels, "doc_id"))
 
 
 @query(
@@ -251,17 +253,21 @@ TOPIC_WEIGHTS = f"""{COUNTS}, langs AS (SELECT lang, CAST(row_number() OVER (ORD
 
 
 def language_codes(spark, sf):
+    """Documents with the number of their language among the sorted languages."""
     from lumenframe.operators.features import label_codes
 
-    docs = documents(spark, sf)
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "source")
     return label_codes(docs, "lang", "topic").withColumn("topic", F.col("topic").cast("int"))
 
 
-def topic_weights(spark, sf):
+def topic_weights(spark, sf, per_doc=None):
     """Topic-term weights with one topic per language: the summed term counts."""
-    docs = language_codes(spark, sf)
-    per_doc = texts.term_counts(docs, "doc_id", tx.word_tokens("text", ENGLISH), ["topic"])
-    return per_doc.groupBy("topic", "term").agg(F.sum("tf").cast("double").alias("weight"))
+    from lumenframe.operators.features import label_codes
+
+    per_doc = counts(spark, sf) if per_doc is None else per_doc
+    per_language = per_doc.groupBy("lang", "term").agg(F.sum("tf").cast("double").alias("weight"))
+    coded = label_codes(per_language, "lang", "topic")
+    return checkpoint(coded.select(F.col("topic").cast("int").alias("topic"), "term", "weight"))
 
 
 TOP = """top AS (SELECT topic, term, weight,
@@ -306,7 +312,8 @@ COHERENCE = f"""{TOPIC_WEIGHTS}, {TOP.format(n=10)},
 
 @query("t6_coherence", f"WITH {COHERENCE} SELECT topic, round(coherence, 6) AS coherence FROM coh")
 def t6_coherence(spark, sf):
-    return rounded(topics.coherence(topic_weights(spark, sf), counts(spark, sf)), 6, "coherence")
+    per_doc = counts(spark, sf)
+    return rounded(topics.coherence(topic_weights(spark, sf, per_doc), per_doc), 6, "coherence")
 
 
 PAIR_WORDS = ("the", "an", "of", "und", "la", "le", "en", "re", "in")

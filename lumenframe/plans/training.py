@@ -24,6 +24,7 @@ from lumenframe.plans.texts import documents
 from lumenframe.plans.vectors import as_features
 from lumenframe.plans.views import LISTINGS, listings, reviews, series, vectors
 from lumenframe.session import checkpoint, scratch_path
+from lumenframe.sources.readers import read_table
 from lumenframe.sources.writers import load_model, save_model
 
 INPUTS = ["quantity", "discount", "tax", "size", "list_price"]
@@ -294,7 +295,7 @@ def b3_save_and_load_model(spark, sf):
 
 def topic_inputs(spark, sf, words=1500):
     df = text_counts(spark, sf).select("doc_id", "term", "tf")
-    docs = documents(spark, sf)
+    docs = read_table(spark, sf, "documents")
     vocabulary = texts.vocabulary(df, docs, words, 2, 0.95)
     # The vocabulary is at most ``words`` rows; sorted terms get consecutive numbers.
     listed = checkpoint(vocabulary).toPandas().sort_values("term").reset_index(drop=True)
@@ -306,7 +307,7 @@ def topic_inputs(spark, sf, words=1500):
 @query("t1_nmf")
 def t1_nmf(spark, sf):
     df, table, listed = topic_inputs(spark, sf)
-    rows = fac.document_rows(texts.tfidf(df, table, documents(spark, sf), sublinear=True), table)
+    rows = fac.document_rows(texts.tfidf(df, table, read_table(spark, sf, "documents"), sublinear=True), table)
     h, losses = fac.fit_nmf(rows, len(listed), 6, iterations=8)
     top = topics.top_words(fac.topic_table(spark, h, listed), 15)
     return top.withColumn("loss", F.lit(losses[-1]))
@@ -315,7 +316,7 @@ def t1_nmf(spark, sf):
 @query("t3_lsa")
 def t3_lsa(spark, sf):
     df, table, listed = topic_inputs(spark, sf)
-    rows = fac.document_rows(texts.tfidf(df, table, documents(spark, sf), sublinear=True), table)
+    rows = fac.document_rows(texts.tfidf(df, table, read_table(spark, sf, "documents"), sublinear=True), table)
     components, _ = fac.fit_lsa(rows, len(listed), 6, iterations=5)
     return fac.lsa_documents(rows, components).select(
         "doc_id", F.posexplode("topics").alias("topic", "weight")
@@ -338,7 +339,7 @@ def t2_lda(spark, sf):
 def t6_model_coherence(spark, sf):
     """Mean coherence of the factorizations, words compared as strings."""
     df, table, listed = topic_inputs(spark, sf)
-    rows = fac.document_rows(texts.tfidf(df, table, documents(spark, sf), sublinear=True), table)
+    rows = fac.document_rows(texts.tfidf(df, table, read_table(spark, sf, "documents"), sublinear=True), table)
     h, _ = fac.fit_nmf(rows, len(listed), 6, iterations=5)
     components, _ = fac.fit_lsa(rows, len(listed), 6, iterations=4)
     out = []

@@ -12,6 +12,7 @@ from lumenframe.operators.ordered import with_running
 from lumenframe.plans.registry import query
 from lumenframe.plans.sales import rfm_table, rounded
 from lumenframe.plans.views import LISTINGS, RFM, SERIES, listings, scored, series, split_key_sql, vectors
+from lumenframe.session import checkpoint
 from lumenframe.sources.readers import read_table
 
 KEY = split_key_sql("vec_id")
@@ -79,10 +80,8 @@ def f6_unit_length(spark, sf):
 )
 def f1_standardize_vectors(spark, sf):
     df = sampling.hash_split(vectors(spark, sf), "id")
-    names = [f"x{i}" for i in range(64)]
-    wide = df.select("id", "split", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
-    scaled = features.standardize(wide, names, train=wide.filter("split = 'train'"))
-    long = scaled.select("id", F.posexplode(F.array(*names)).alias("position", "scaled"))
+    scaled = features.standardize_array(df, "embedding", train=df.filter("split = 'train'"))
+    long = scaled.select("id", F.posexplode("embedding").alias("position", "scaled"))
     return rounded(long, 6, "scaled")
 
 
@@ -166,14 +165,13 @@ CENTERS = ((-0.5, 0.8, 0.8), (1.5, -0.9, -0.9), (-0.4, -0.6, -0.6), (0.2, 0.1, 0
     + "] AS d FROM z) SELECT customer_id, CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS cluster FROM d",
 )
 def k1_assign_clusters(spark, sf):
-    names = ["recency", "frequency", "monetary"]
-    df = features.standardize(rfm_table(spark, sf), names)
+    df, names = rfm_scaled(spark, sf)
     return df.select("customer_id", cluster.nearest_center(names, CENTERS).alias("cluster"))
 
 
 def rfm_scaled(spark, sf):
     names = ["recency", "frequency", "monetary"]
-    return features.standardize(rfm_table(spark, sf), names), names
+    return features.standardize(checkpoint(rfm_table(spark, sf)), names), names
 
 
 @query("k1_kmeans")

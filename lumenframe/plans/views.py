@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.operators.sampling import multiplier
-from lumenframe.sources.readers import read_table
+from lumenframe.sources.readers import read_table, spread
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,7 +161,8 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled texts: document text with its 0/1 quality label."""
     docs = read_table(spark, sf, "documents")
     labels = read_table(spark, sf, "labels")
-    return docs.join(labels, "doc_id").select("doc_id", "text", "lang", "source", F.col("quality").alias("label"))
+    joined = docs.join(labels, "doc_id").select("doc_id", "text", "lang", "source", F.col("quality").alias("label"))
+    return spread(joined)
 
 
 REVIEWS = """

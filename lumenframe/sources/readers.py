@@ -18,6 +18,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals the rows of a small table out to all cores, ahead of heavy work per row (text).
+
+    A table with at least as many input splits as cores stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_measurements(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Comma-separated file with a header; ``NA`` and empty cells are NULL."""
     return spark.read.schema(schema).option("header", True).option("nullValue", "NA").csv(path)
