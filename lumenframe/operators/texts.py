@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,13 +138,12 @@ def fit_vectorizer(
     Spark's idf is ln((n + 1) / (df + 1)); adding 1 turns the scaling into an
     element-wise product with a fixed vector of at most ``max_features`` numbers.
     """
-    counter = CountVectorizer(
-        inputCol="terms", outputCol="_tf", vocabSize=max_features, minDF=min_df, maxDF=max_df
-    ).fit(train)
+    counting = CountVectorizer(inputCol="terms", outputCol="_tf", vocabSize=max_features, minDF=min_df)
+    if max_df < 1.0:  # Spark reads 1.0 and more as a number of documents
+        counting = counting.setMaxDF(max_df)
+    counter = counting.fit(train)
     counted = counter.transform(train)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf
-    from pyspark.ml.linalg import Vectors
-
     scale = ElementwiseProduct(inputCol="_tf", outputCol="_scaled", scalingVec=Vectors.dense(idf.toArray() + 1.0))
     unit = Normalizer(inputCol="_scaled", outputCol=output, p=2.0)
     return Pipeline(stages=[counter, scale, unit]).fit(train)

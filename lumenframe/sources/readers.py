@@ -89,7 +89,7 @@ def read_corpus(
     spark: SparkSession, folder: str, categories: Sequence[str] | None = None, strip: bool = True
 ) -> DataFrame:
     """One file per message below ``folder/<category>/``, whole texts, with category filter."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder)
+    df = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
     df = df.select(
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("category"),
         F.col("_metadata.file_name").alias("name"),
