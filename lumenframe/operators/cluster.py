@@ -8,19 +8,16 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.operators.models import assembled
+from lumenframe.operators.models import assembled, fit_all
 
 
 def fit_kmeans(df: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42, features: str = "features") -> KMeansModel:
-    """The fit with the lowest within-cluster sum of squares over ``restarts`` seeds."""
-    rows = df.persist()
-    try:
-        fits = [
-            KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster", maxIter=50).fit(rows)
-            for i in range(restarts)
-        ]
-    finally:
-        rows.unpersist()
+    """The fit with the lowest within-cluster sum of squares over ``restarts`` seeds, run side by side."""
+    starts = {
+        str(i): KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster", maxIter=50)
+        for i in range(restarts)
+    }
+    fits = list(fit_all(starts, df).values())
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 

@@ -49,22 +49,28 @@ def standardize_array(df: DataFrame, column: str, train: DataFrame | None = None
     return df.withColumn("_m", packed).withColumn(name or column, scaled).drop("_m")
 
 
-def quantile_bins(df: DataFrame, column: str, bins: int = 10, name: str | None = None) -> DataFrame:
-    """Equal-count bins with right-closed edges at the exact quantiles; equal edges merge.
+def quantile_bins(df: DataFrame, columns: str | Sequence[str], bins: int = 10) -> DataFrame:
+    """Adds ``<column>_bin``: equal-count bins with right-closed edges at the exact quantiles.
 
-    The lowest value belongs to the first bin; NULL stays NULL.
+    Equal edges merge. The lowest value belongs to the first bin; NULL stays
+    NULL. The edges of all columns come from one pass.
     """
-    probabilities = [i / bins for i in range(bins + 1)]
-    edges = (
-        exact_quantiles(df, [column], probabilities)
-        .agg(F.array_distinct(F.array_sort(F.collect_list("value"))))
-        .scalar()
-    )
-    v = F.col(column).cast("double")
+    names = [columns] if isinstance(columns, str) else list(columns)
+    long = exact_quantiles(df, names, [i / bins for i in range(bins + 1)])
+
+    def edges_of(c: str):
+        mine = F.collect_list(F.when(F.col("column") == c, F.col("value")))
+        return F.array_distinct(F.array_sort(mine)).alias(c)
+
+    edges = long.agg(F.struct(*[edges_of(c) for c in names])).scalar()
     with_edges = df.withColumn("_edges", edges)
-    below = F.size(F.filter(F.col("_edges"), lambda e: e < v))
-    place = F.when(F.col(column).isNotNull(), F.greatest(below - 1, F.lit(0)))
-    return with_edges.withColumn(name or f"{column}_bin", place).drop("_edges")
+
+    def place(c: str):
+        v = F.col(c).cast("double")
+        below = F.size(F.filter(F.col(f"_edges.{c}"), lambda e: e < v))
+        return F.when(F.col(c).isNotNull(), F.greatest(below - 1, F.lit(0)))
+
+    return with_edges.withColumns({f"{c}_bin": place(c) for c in names}).drop("_edges")
 
 
 def label_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:

@@ -8,8 +8,10 @@ which needs the number of training rows and, for ridge, the label deviation.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -244,11 +246,16 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def fit_all(estimators: Mapping[str, Estimator], train: DataFrame) -> dict[str, Model]:
-    """Fits every estimator on the same rows, which are kept in executor storage meanwhile."""
+def fit_all(estimators: Mapping[str, Estimator], train: DataFrame, parallelism: int = 4) -> dict[str, Model]:
+    """Fits every estimator on the same rows, which stay in executor storage meanwhile.
+
+    Up to ``parallelism`` fits submit their jobs at the same time.
+    """
     train = train.persist()
     try:
-        return {name: estimator.fit(train) for name, estimator in estimators.items()}
+        with ThreadPool(max(1, min(parallelism, len(estimators)))) as pool:
+            fit = inheritable_thread_target(train.sparkSession)(lambda e: e.fit(train))
+            return dict(zip(estimators, pool.map(fit, list(estimators.values()))))
     finally:
         train.unpersist()
 

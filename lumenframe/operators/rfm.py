@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.functions.columns import not_prefixed, whole_days_between
 from lumenframe.operators.ordered import approximate_quantiles, exact_quantiles
+from lumenframe.session import checkpoint
 
 METRICS = ("recency", "frequency", "monetary")
 
@@ -25,16 +26,19 @@ def billable(sales: DataFrame, cancel_prefix: str = "C") -> DataFrame:
 def rfm(lines: DataFrame) -> DataFrame:
     """Per customer: days since the last purchase, number of invoices, spend.
 
-    The snapshot is one day after the last purchase of all, read as a scalar
-    subquery. Spark counts the distinct invoices in two steps, (customer, invoice)
-    first, so a very large customer does not end up in one task.
+    The snapshot is one day after the last purchase of all. It is read from the
+    customer table, which is written once, so the lines are scanned only once.
+    Spark counts the distinct invoices in two steps, (customer, invoice) first,
+    so a very large customer does not end up in one task.
     """
-    snapshot = lines.agg(F.max("invoice_ts") + F.expr("INTERVAL 1 DAY")).scalar()
-    per_customer = lines.groupBy("customer_id").agg(
-        F.max("invoice_ts").alias("_last"),
-        F.countDistinct("invoice_no").alias("frequency"),
-        F.sum("total").alias("monetary"),
+    per_customer = checkpoint(
+        lines.groupBy("customer_id").agg(
+            F.max("invoice_ts").alias("_last"),
+            F.countDistinct("invoice_no").alias("frequency"),
+            F.sum("total").alias("monetary"),
+        )
     )
+    snapshot = per_customer.agg(F.max("_last") + F.expr("INTERVAL 1 DAY")).scalar()
     return per_customer.select(
         "customer_id", whole_days_between(snapshot, F.col("_last")).alias("recency"), "frequency", "monetary"
     )
@@ -70,8 +74,6 @@ def name_segments(centers: DataFrame, names: Sequence[str]) -> DataFrame:
     Cluster numbers are arbitrary, so names follow the order of
     ``monetary + frequency - recency`` of the standardized centers.
     """
-    from pyspark.sql import Window
-
     value = F.col("monetary") + F.col("frequency") - F.col("recency")
     place = F.row_number().over(Window.orderBy(F.desc(value), "cluster"))
     labels = F.array(*[F.lit(n) for n in names])

@@ -7,6 +7,8 @@ from itertools import combinations_with_replacement
 from statistics import NormalDist
 
 import pandas as pd
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,19 +36,19 @@ QUARTILES = {0.25: "q1", 0.5: "median", 0.75: "q3"}
 
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles, one row per column."""
-    wide = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
-    moments = wide.select(_cells(columns, s=lambda c: F.col(c)).alias("cell")).select("cell.column", "cell.s.*")
+    value = F.col("value")
+    moments = (
+        df.select(_cells(columns, value=lambda c: F.col(c).cast("double")).alias("cell"))
+        .select("cell.column", "cell.value")
+        .groupBy("column")
+        .agg(
+            F.count(value).alias("count"),
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        )
+    )
     find = exact_quantiles if exact else approximate_quantiles
     quartiles = quantile_columns(find(df, columns, list(QUARTILES)), QUARTILES)
     return moments.join(quartiles, "column", "left")
@@ -104,16 +106,16 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of all column pairs in one pass, upper triangle with diagonal."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return wide.select(F.explode(cells).alias("cell")).select("cell.*")
+    """Pearson correlation of all column pairs, upper triangle with diagonal.
+
+    One pass over the complete rows adds up one small matrix per task.
+    """
+    rows = VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="skip").transform(df)
+    matrix = Correlation.corr(rows.select("_v"), "_v").first()[0].toArray()
+    cells = [
+        (a, b, float(matrix[i, j])) for (i, a), (j, b) in combinations_with_replacement(enumerate(columns), 2)
+    ]
+    return df.sparkSession.createDataFrame(cells, "left string, right string, r double")
 
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -14,13 +14,14 @@ from lumenframe.functions.text import cleaned_tokens, one_and_two_grams
 from lumenframe.functions.stemming import stemmed
 
 
-def term_counts(df: DataFrame, doc: str, tokens: Column, keep: Sequence[str] = ()) -> DataFrame:
+def term_counts(
+    df: DataFrame, doc: str, tokens: Column, keep: Sequence[str] = (), stopwords: Sequence[str] = ()
+) -> DataFrame:
     """One row per (doc, term) with its count; a task counts its own documents before the shuffle."""
-    return (
-        df.select(doc, *keep, F.explode(tokens).alias("term"))
-        .groupBy(doc, *keep, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    terms = df.select(doc, *keep, F.explode(tokens).alias("term"))
+    if stopwords:
+        terms = terms.filter(~F.col("term").isin(*stopwords))
+    return terms.groupBy(doc, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(

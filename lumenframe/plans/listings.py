@@ -171,8 +171,8 @@ def e17_histogram(spark, sf):
     FROM listings, e""",
 )
 def w6_quantile_bins(spark, sf):
-    df = features.quantile_bins(listings(spark, sf), "price", 10)
-    return features.quantile_bins(df, "size", 10).select("id", "price_bin", "size_bin")
+    df = features.quantile_bins(listings(spark, sf), ["price", "size"], 10)
+    return df.select("id", "price_bin", "size_bin")
 
 
 @query(

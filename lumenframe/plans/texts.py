@@ -89,7 +89,7 @@ COUNTS = f"""tok AS (SELECT doc_id, lang, {words_sql('text')} AS t FROM document
 
 def counts(spark, sf):
     """Term counts, written once: the vocabulary and the weights both read them."""
-    return checkpoint(texts.term_counts(documents(spark, sf), "doc_id", tx.word_tokens("text", ENGLISH), ["lang"]))
+    return checkpoint(texts.term_counts(documents(spark, sf), "doc_id", tx.word_tokens("text"), ["lang"], ENGLISH))
 
 
 @query(

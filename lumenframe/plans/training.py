@@ -24,7 +24,7 @@ from lumenframe.plans.texts import documents
 from lumenframe.plans.vectors import as_features
 from lumenframe.plans.views import LISTINGS, listings, reviews, series, vectors
 from lumenframe.session import checkpoint, scratch_path
-from lumenframe.sources.readers import read_table
+from lumenframe.sources.readers import read_table, spread
 from lumenframe.sources.writers import load_model, save_model
 
 INPUTS = ["quantity", "discount", "tax", "size", "list_price"]
@@ -32,7 +32,7 @@ INPUTS = ["quantity", "discount", "tax", "size", "list_price"]
 
 def price_rows(spark, sf):
     """Standardized listing features, label log price, split by a hash of the id."""
-    df = sampling.hash_split(listings(spark, sf), "id").withColumnRenamed("log_price", "label")
+    df = sampling.hash_split(spread(listings(spark, sf)), "id").withColumnRenamed("log_price", "label")
     df = features.standardize(df, INPUTS, train=df.filter("split = 'train'"))
     return ml.assembled(df.select("id", "label", "split", *INPUTS), INPUTS)
 

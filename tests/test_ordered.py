@@ -66,7 +66,7 @@ def test_approximate_quantiles_are_close(spark, frame):
 
 
 def test_quantile_bins_match_pandas(spark, frame):
-    got = quantile_bins(spark.createDataFrame(frame), "v", 10, "bin").toPandas().sort_values("id")
+    got = quantile_bins(spark.createDataFrame(frame), "v", 10).withColumnRenamed("v_bin", "bin").toPandas().sort_values("id")
     want = pd.qcut(frame.sort_values("id")["v"], 10, labels=False, duplicates="drop")
     assert (got["bin"].to_numpy() == want.to_numpy()).all()
 
