@@ -91,7 +91,7 @@ def logistic(train: DataFrame, c: float = 1.0, label: str = "label", weight: str
     """Binary or multinomial logistic regression with inverse penalty ``c``."""
     n = train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
     est = LogisticRegression(
-        labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=iterations, tol=1e-8
+        labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=iterations
     )
     return est.setWeightCol(weight) if weight else est
 

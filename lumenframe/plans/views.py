@@ -67,7 +67,7 @@ series AS (
 
 def listings(spark: SparkSession, sf: str) -> DataFrame:
     """Numeric regression input: price of a line from its quantity, discount, tax, size and list price."""
-    lines = read_table(spark, sf, "lineitem")
+    lines = spread(read_table(spark, sf, "lineitem"))
     parts = read_table(spark, sf, "part")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         (F.col("l_orderkey") * 1000003 + F.col("l_linenumber") * 100003 + F.col("l_partkey")).alias("id"),
@@ -159,10 +159,9 @@ labelled AS (
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled texts: document text with its 0/1 quality label."""
-    docs = read_table(spark, sf, "documents")
+    docs = spread(read_table(spark, sf, "documents"))
     labels = read_table(spark, sf, "labels")
-    joined = docs.join(labels, "doc_id").select("doc_id", "text", "lang", "source", F.col("quality").alias("label"))
-    return spread(joined)
+    return docs.join(labels, "doc_id").select("doc_id", "text", "lang", "source", F.col("quality").alias("label"))
 
 
 REVIEWS = """

@@ -19,9 +19,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deals the rows of a small table out to all cores, ahead of heavy work per row (text).
+    """Deals the rows of a small scan out to all cores, ahead of heavy work per row (text, models).
 
-    A table with at least as many input splits as cores stays as it is.
+    For plain scans only: asking for the number of splits then runs nothing. A
+    scan with at least as many splits as cores stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
