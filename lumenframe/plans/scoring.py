@@ -79,7 +79,7 @@ def v3_averaged_report(spark, sf):
 
 
 AUC = """auc AS (SELECT method, (sum(r) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2)
-    / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)) AS roc_auc FROM (
+    / nullif(count(*) FILTER (y = 1) * count(*) FILTER (y = 0), 0) AS roc_auc FROM (
     SELECT method, y, rank() OVER w + (count(*) OVER (PARTITION BY method, score) - 1) / 2 AS r
     FROM scored WINDOW w AS (PARTITION BY method ORDER BY score)) GROUP BY method)"""
 COUNTS = """per AS (SELECT method, score, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg
@@ -109,7 +109,7 @@ def v5_roc_points(spark, sf):
 
 @query(
     "v6_average_precision",
-    f"""WITH {SCORED}, {COUNTS} SELECT method, round(sum(pos / p * (tp / (tp + fp))), 8) AS average_precision
+    f"""WITH {SCORED}, {COUNTS} SELECT method, round(sum(coalesce(pos / nullif(p, 0), 0) * (tp / (tp + fp))), 8) AS average_precision
     FROM counts GROUP BY method""",
 )
 def v6_average_precision(spark, sf):
@@ -119,7 +119,7 @@ def v6_average_precision(spark, sf):
 @query(
     "v6_precision_recall_points",
     f"""WITH {SCORED}, {COUNTS} SELECT method, score AS threshold, round(tp / (tp + fp), 8) AS precision,
-      round(tp / p, 8) AS recall FROM counts""",
+      round(coalesce(tp / nullif(p, 0), 0), 8) AS recall FROM counts""",
 )
 def v6_precision_recall_points(spark, sf):
     return rounded(ev.precision_recall_points(counts(spark, sf), ["method"]), 8, "precision", "recall")
@@ -178,7 +178,7 @@ def v13_budget_by_method(spark, sf):
 @query(
     "v13_ranking_report",
     f"""WITH {SCORED}, {AUC}, {COUNTS}, {AT_K},
-    ap AS (SELECT method, sum(pos / p * (tp / (tp + fp))) AS ap FROM counts GROUP BY method)
+    ap AS (SELECT method, sum(coalesce(pos / nullif(p, 0), 0) * (tp / (tp + fp))) AS ap FROM counts GROUP BY method)
     SELECT method, round(roc_auc, 8) AS roc_auc, round(ap, 8) AS average_precision, positives, k,
       round(tp / k, 8) AS precision_at_k, round(coalesce(tp / nullif(positives, 0), 0), 8) AS recall_at_k
     FROM auc JOIN ap USING (method) JOIN at_k USING (method)""",

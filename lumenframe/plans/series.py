@@ -175,22 +175,22 @@ def predicted(spark, sf):
 
 @query(
     "e7_seasonality",
-    f"""WITH {PREDICTED} SELECT CAST(hour(ts) AS INTEGER) AS hour, round(avg(value), 6) AS mean_value,
-      round(avg(predicted), 6) AS mean_predicted FROM e GROUP BY 1""",
+    f"""WITH {PREDICTED} SELECT CAST(hour(ts) AS INTEGER) AS hour, round(avg(value), 9) AS mean_value,
+      round(avg(predicted), 9) AS mean_predicted FROM e GROUP BY 1""",
 )
 def e7_seasonality(spark, sf):
     df = ts.seasonality(predicted(spark, sf), F.hour("ts"), ["value", "predicted"], "hour")
-    return rounded(df, 6, "mean_value", "mean_predicted")
+    return rounded(df, 9, "mean_value", "mean_predicted")
 
 
 @query(
     "e7_weekday_profile",
-    f"""WITH {PREDICTED} SELECT CAST(isodow(ts) - 1 AS INTEGER) AS weekday, round(avg(value), 6) AS mean_value,
-      round(avg(predicted), 6) AS mean_predicted FROM e GROUP BY 1""",
+    f"""WITH {PREDICTED} SELECT CAST(isodow(ts) - 1 AS INTEGER) AS weekday, round(avg(value), 9) AS mean_value,
+      round(avg(predicted), 9) AS mean_predicted FROM e GROUP BY 1""",
 )
 def e7_weekday_profile(spark, sf):
     df = ts.seasonality(predicted(spark, sf), F.weekday("ts"), ["value", "predicted"], "weekday")
-    return rounded(df, 6, "mean_value", "mean_predicted")
+    return rounded(df, 9, "mean_value", "mean_predicted")
 
 
 @query("c17_residual", f"WITH {PREDICTED} SELECT event_id, round(value - predicted, 6) + 0 AS residual FROM e")
