@@ -75,7 +75,7 @@ def planes_of(values: np.ndarray) -> np.ndarray:
     padded = np.zeros(n, dtype=np.uint64)
     padded[: len(values)] = values
     bits = np.unpackbits(padded.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-    return np.packbits(bits.T, axis=1, bitorder="little").view(np.uint64)
+    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
 def within(left: np.ndarray, right: np.ndarray, radius: int) -> np.ndarray:

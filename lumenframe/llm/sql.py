@@ -19,18 +19,18 @@ WITH d AS (
 ), i AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_lowered("text")}, {_WORDS}) AS w FROM benchmark
 ), windows AS (
-  SELECT DISTINCT item_id, size, array_to_string(w[at : at + size - 1], ' ') AS said
-  FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS at
+  SELECT DISTINCT item_id, size, array_to_string(w[p : p + size - 1], ' ') AS said
+  FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p
         FROM i WHERE len(w) > 0)
 ), places AS (
-  SELECT doc_id, size, at, array_to_string(w[at : at + size - 1], ' ') AS said
-  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS at
+  SELECT doc_id, size, p, array_to_string(w[p : p + size - 1], ' ') AS said
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
         FROM d CROSS JOIN (SELECT DISTINCT size FROM windows))
 ), hits AS (
-  SELECT doc_id, item_id, at, size FROM places JOIN windows USING (size, said)
+  SELECT doc_id, item_id, p, size FROM places JOIN windows USING (size, said)
 ), covered AS (
   SELECT doc_id, count(DISTINCT place) AS n_hit
-  FROM (SELECT doc_id, unnest(range(at, at + size)) AS place FROM hits) GROUP BY doc_id
+  FROM (SELECT doc_id, unnest(range(p, p + size)) AS place FROM hits) GROUP BY doc_id
 ), items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
