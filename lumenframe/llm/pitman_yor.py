@@ -39,10 +39,10 @@ CONCENTRATION = 1.0
 BLOCK_TOKENS = 1_000_000
 _BLOCK_DOCS = 1 << 15
 #: Bytes of text whose words make a shard.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 #: A word with more than one in so many tokens of the sample is spread over all shards.
 HOT_SHARE = 2048
-HOT_SAMPLE_DOCS = 2000
+HOT_SAMPLE_DOCS = 500
 _END = np.uint64(xxhash.xxh64_intdigest(b"\x00end"))
 _START = np.uint64(xxhash.xxh64_intdigest(b"\x00start"))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -184,13 +184,12 @@ class Shard:
         self.blocks = []
         keys = []
         for (_, block, _, counts, entries), own in zip(rows, words, strict=True):
-            word_at = np.searchsorted(self.words, own)
-            entry = np.frombuffer(entries, dtype=np.uint32)
-            key = np.repeat(word_at, np.frombuffer(counts, dtype=np.uint32)) << 16 | (entry >> 16)
-            doc = (entry & 0x7FFF).astype(np.int64)
-            self.blocks.append((block, key, doc))
-            keys.append(key[(entry & 0x8000) > 0])
+            word_at = np.searchsorted(self.words, own).astype(np.uint64)
+            held = (block, word_at, np.frombuffer(counts, dtype=np.uint32), np.frombuffer(entries, dtype=np.uint32))
+            self.blocks.append(held)
+            keys.append(self.keys_of(*held[1:])[(held[3] & 0x8000) > 0])
         self.keys, self.counts = np.unique(np.concatenate(keys), return_counts=True)
+        del keys
         self.counts = self.counts.astype(np.float64)
         self.word, self.slot = self.keys >> 16, self.keys & 0xFFFF
         self.hot_at = np.full(len(self.words), -1)
@@ -198,6 +197,11 @@ class Shard:
             at = np.minimum(np.searchsorted(hot, self.words), len(hot) - 1)
             self.hot_at = np.where(hot[at] == self.words, at, -1)
 
+    @staticmethod
+    def keys_of(word_at: np.ndarray, counts: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """The cell of each occurrence of a block: place of its word, then its context."""
+        return (np.repeat(word_at, counts) << np.uint64(16) | (entries >> np.uint32(16))).astype(np.int64)
+
     def by_word(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.word, weights=values, minlength=len(self.words))
 
@@ -312,7 +316,8 @@ def _scored(corpus: Corpus, history: list[Totals], sweeps: int, burn_in: int, se
                         prob = shard.parent(shard.shared(own, t.hot_customers), shard.shared(seated, t.hot_tables), t)
                         kept = np.append(shard.counts - corpus.discount * tables, 0.0)
                         samples.append((kept, prob, CONCENTRATION + corpus.discount * t.tables))
-                for block, key, doc in shard.blocks:
+                for block, word_at, n, entries in shard.blocks:
+                    key, doc = shard.keys_of(word_at, n, entries), entries & 0x7FFF
                     at = np.minimum(np.searchsorted(shard.keys, key), max(len(shard.keys) - 1, 0))
                     seen = shard.keys[at] == key if len(shard.keys) else np.zeros(len(key), dtype=bool)
                     at = np.where(seen, at, len(shard.keys))
