@@ -371,7 +371,8 @@ def _gathered(train_tokens: int):
 
 
 def _hot_words(docs: DataFrame, sample: int) -> np.ndarray:
-    rows = docs.orderBy(F.xxhash64("doc_id")).limit(sample).select("text")
+    ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(sample).distinct()
+    rows = docs.join(F.broadcast(ids), "doc_id").select("text")  # ``sample`` ids at most
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
