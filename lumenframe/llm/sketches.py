@@ -103,7 +103,7 @@ def with_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         whole(text).alias("text"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(lowest)).alias("key"),
     )
-    width = shuffle_width(spark)
+    width = 4 * shuffle_width(spark)  # several ranges a task even its load out
     cuts = rows.agg(F.percentile_approx("key", [k / width for k in range(1, width)], 100 * width)).first()[0] or []
     bounds = np.unique(np.array(cuts, dtype=np.int64))
 
