@@ -3,8 +3,9 @@
 Each Arrow batch of documents is a shard. Its suffix array holds the word suffixes in lexicographic
 order, compared over the first ``window`` words; only suffixes that begin with enough words of the test
 set's vocabulary are kept, since no other can match. Every suffix of every test item is then looked up
-by two binary searches, which give all its places in the shard; places that continue each other are
-joined to the longest verbatim matches.
+by two binary searches, which give all its places in the shard; places that follow each other are joined to
+the longest stretches of a document that match an item word for word, window by window. A window counts once
+for each item that holds it, however often the item repeats it.
 
 The test set is the stated query set. It goes to the tasks in blocks of bounded size; beyond one block the
 documents pass through one matcher after another in the same stage. Nothing is shuffled.
@@ -51,7 +52,7 @@ class TestSet(NamedTuple):
     lengths: np.ndarray  # words of each distinct window
     low: np.ndarray  # sort keys: the window, padded below and above
     high: np.ndarray
-    holders: np.ndarray  # CSR: window -> (item, place in it)
+    holders: np.ndarray  # CSR: window -> (item, first place in it)
     holder_at: np.ndarray
     items: list[str]
     window: int
@@ -66,7 +67,7 @@ def _keys(rows: np.ndarray) -> np.ndarray:
 def test_set(rows: list[tuple[str, bytes]], window: int) -> TestSet:
     """Cuts items into windows; an item shorter than ``window`` is one window, one without words none."""
     ids: dict[bytes, int] = {}
-    places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+    places: dict[tuple[int, ...], dict[int, int]] = {}
     items: list[str] = []
     for item, text in rows:
         words = [ids.setdefault(w, len(ids) + 1) for w in letter_words(text)]
@@ -74,7 +75,7 @@ def test_set(rows: list[tuple[str, bytes]], window: int) -> TestSet:
             continue
         size = min(window, len(words))
         for at in range(len(words) - size + 1):
-            places.setdefault(tuple(words[at : at + size]), []).append((len(items), at))
+            places.setdefault(tuple(words[at : at + size]), {}).setdefault(len(items), at)
         items.append(item)
     lengths = np.array([len(w) for w in places], dtype=np.int64)
     low = np.zeros((len(places), window), dtype=np.uint32)
@@ -82,7 +83,7 @@ def test_set(rows: list[tuple[str, bytes]], window: int) -> TestSet:
     for k, words in enumerate(places):
         low[k, : len(words)] = high[k, : len(words)] = words
     sizes = np.array([len(p) for p in places.values()], dtype=np.int64)
-    holders = np.array([h for p in places.values() for h in p], dtype=np.int64).reshape(-1, 2)
+    holders = np.array([h for p in places.values() for h in p.items()], dtype=np.int64).reshape(-1, 2)
     at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     return TestSet(ids, lengths, _keys(low), _keys(high), holders, at, items, window)
 
@@ -94,7 +95,7 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def shard_matches(texts: list[bytes], test: TestSet) -> tuple[list[int], list[list[tuple]]]:
-    """Number of words and longest verbatim matches of each text of a shard."""
+    """Number of words and longest matching stretches of each text of a shard."""
     number, counts, parts = test.ids.get, [], [np.zeros(1, dtype=np.uint32)]
     for text in texts:
         words = letter_words(text)
@@ -129,10 +130,10 @@ def shard_matches(texts: list[bytes], test: TestSet) -> tuple[list[int], list[li
     holders = test.holders[_ranges(test.holder_at[windows], held)]
     place, size = np.repeat(places, held), np.repeat(test.lengths[windows], held)
     item, item_at = holders[:, 0], holders[:, 1]
-    by = np.lexsort((place, place - item_at, item))  # by item, diagonal and place
+    by = np.lexsort((place, item))
     place, size, item, item_at = place[by], size[by], item[by], item_at[by]
     begins = np.ones(len(by), dtype=bool)
-    begins[1:] = (item[1:] != item[:-1]) | (np.diff(place - item_at) != 0) | (np.diff(place) != 1)
+    begins[1:] = (item[1:] != item[:-1]) | (np.diff(place) != 1)
     begin = np.flatnonzero(begins)
     last = np.concatenate([begin[1:], [len(by)]]) - 1
     doc = np.searchsorted(doc_start, place[begin], "right") - 1
@@ -164,7 +165,7 @@ def find_matches(
     name: str = "contamination",
     block_chars: int = BLOCK_CHARS,
 ) -> tuple[DataFrame, str]:
-    """Adds a struct of ``n_words`` and ``matches`` (longest verbatim matches); returns the frame and its name.
+    """Adds a struct of ``n_words`` and ``matches`` (longest stretches); returns the frame and its name.
 
     Null texts have no words; an item with a null id is no item; items without words match nothing; an
     item of fewer than ``window`` words has to occur whole. Repeated documents get repeated results, repeated
