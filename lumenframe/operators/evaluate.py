@@ -29,9 +29,14 @@ def confusion(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: Sequence) -> DataFrame:
     """One row per actual class, one column per predicted class, zeros included."""
-    return df.groupBy(actual).agg(
+    counted = df.groupBy(actual).agg(
         *[F.count_if(F.col(predicted) == c).alias(f"predicted_{c}") for c in classes]
     )
+    kind = df.schema[actual].dataType
+    listed = df.sparkSession.createDataFrame([(c,) for c in classes], f"_class {kind.simpleString()}")
+    both = listed.join(counted, F.col("_class").eqNullSafe(F.col(actual)), "full")
+    counts = [F.coalesce(f"predicted_{c}", F.lit(0).cast("long")).alias(f"predicted_{c}") for c in classes]
+    return both.select(F.coalesce(actual, "_class").alias(actual), *counts)
 
 
 def binary_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

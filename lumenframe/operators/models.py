@@ -298,16 +298,14 @@ def grid_search(
     grid: Sequence[Mapping[str, object]],
     df: DataFrame,
     id_column: str,
-    share: float = 0.5,
     folds: int = 3,
     label: str = "label",
 ) -> tuple[CrossValidatorModel, DataFrame]:
-    """Tunes on a hash sample of ``share`` of the rows; the best setting is refitted on that sample.
+    """Tunes by cross-validation on all rows; the best setting is refitted on all of them.
 
     Returns the fitted search and one row per setting with its mean score.
     """
-    sample = df.filter(sampling.split_key(id_column, seed=7) < int(share * 4294967296))
-    fitted = cross_validator(estimator, grid, folds, label).fit(with_folds(sample, id_column, folds))
+    fitted = cross_validator(estimator, grid, folds, label).fit(with_folds(df, id_column, folds))
     rows = [
         (", ".join(f"{k}={v}" for k, v in point.items()), float(score))
         for point, score in zip(grid, fitted.avgMetrics)

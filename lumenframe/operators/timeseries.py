@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.operators.joins import small_or_shuffled
-from lumenframe.operators.ordered import exact_quantiles, with_position
+from lumenframe.operators.ordered import exact_quantiles, join_null_safe, with_position
 from lumenframe.session import checkpoint
 
 CHUNK_ROWS = 500_000
@@ -79,7 +79,7 @@ def interpolate(
         F.last("_last", ignorenulls=True).over(earlier).alias("_from"),
         F.last("_first", ignorenulls=True).over(later).alias("_to"),
     )
-    rows = placed.join(carried, [*by, "_chunk"])
+    rows = join_null_safe(placed, carried, [*by, "_chunk"])  # a series may have a NULL key
     ordered = Window.partitionBy(*by, "_chunk").orderBy("_pos")
     before = F.last(known, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     backwards = Window.partitionBy(*by, "_chunk").orderBy(F.desc("_pos"))

@@ -341,13 +341,12 @@ def j4_split_overlap(spark, sf):
 
 @query(
     "r6_class_samples",
-    f"""WITH {SCORED}, a AS (SELECT id, method FROM scored WHERE method IN ('click', 'view')
+    f"""WITH {SCORED}, a AS (SELECT id, method FROM scored
     QUALIFY row_number() OVER (PARTITION BY method ORDER BY {KEY}, id) <= 50) SELECT id, method FROM a""",
 )
 def r6_class_samples(spark, sf):
     df = scored(spark, sf).select("id", "method")
-    parts = [sampling.fixed_sample(df.filter(F.col("method") == m), "id", 50) for m in ("click", "view")]
-    return parts[0].unionByName(parts[1]).orderBy("id")
+    return sampling.cap_per_class(df, "method", "id", 50).orderBy("id")
 
 
 # --- sorted heads ----------------------------------------------------------------------

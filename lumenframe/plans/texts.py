@@ -351,10 +351,10 @@ def e20_crosstab_share(spark, sf):
 
 @query(
     "t7_topic_alignment",
-    f"WITH {DOMINANT}, smp AS (SELECT * FROM dom ORDER BY {KEY}, doc_id LIMIT 500) {share_sql('smp', 'source')}",
+    f"WITH {DOMINANT} {share_sql('dom', 'source')}",
 )
 def t7_topic_alignment(spark, sf):
-    df = topics.topic_alignment(assigned(spark, sf), "source", range(len(LETTERS)), "doc_id")
+    df = topics.topic_alignment(assigned(spark, sf), "source", range(len(LETTERS)))
     return rounded(df, 6, *[c for c in df.columns if c != "source"])
 
 
@@ -382,9 +382,10 @@ def r4_distinct_in_order(spark, sf):
 
 @query(
     "t8_topic_term_table",
-    f"""WITH {TOPIC_WEIGHTS}, {TOP.format(n=12)}, f AS (SELECT term, min(topic * 1000 + rank) AS pos FROM top GROUP BY term)
-    SELECT l.topic, f.term, CAST(pos // 1000 AS INTEGER) AS first_topic, CAST(pos % 1000 AS INTEGER) AS first_rank,
-      coalesce(tw.weight, 0) AS weight FROM f, langs l LEFT JOIN tw ON tw.topic = l.topic AND tw.term = f.term""",
+    f"""WITH {TOPIC_WEIGHTS}, {TOP.format(n=12)}, f AS (SELECT term, min(topic * 1000 + rank) AS pos FROM top GROUP BY term),
+    g AS (SELECT f.term, f.pos, l.topic FROM f CROSS JOIN langs l)
+    SELECT g.topic, g.term, CAST(pos // 1000 AS INTEGER) AS first_topic, CAST(pos % 1000 AS INTEGER) AS first_rank,
+      coalesce(tw.weight, 0) AS weight FROM g LEFT JOIN tw ON tw.topic = g.topic AND tw.term = g.term""",
 )
 def t8_topic_term_table(spark, sf):
     return topics.topic_term_table(topic_weights(spark, sf), 12)

@@ -194,7 +194,7 @@ def m7_class_weights(spark, sf):
 @query("m8_multinomial")
 def m8_multinomial(spark, sf):
     train, test = vector_rows(spark, sf, "label")
-    return ml.multiclass_report("multinomial", ml.logistic(train, iterations=100).fit(train).transform(test))
+    return ml.multiclass_report("multinomial", ml.logistic(train, iterations=500).fit(train).transform(test))
 
 
 @query("m9_forest_classifier")
@@ -229,7 +229,7 @@ def m13_perceptron(spark, sf):
     train, test = (
         pca.transform(d).select("id", "label", F.col("components").alias("features")) for d in (train, test)
     )
-    model = ml.perceptron(30, 10, iterations=40).fit(train)
+    model = ml.perceptron(30, 10, iterations=80).fit(train)
     report = ml.multiclass_report("perceptron", model.transform(test))
     return report.withColumn("iterations", F.lit(ml.loss_curve(model).count()))
 
@@ -317,7 +317,7 @@ def t1_nmf(spark, sf):
 def t3_lsa(spark, sf):
     df, table, listed = topic_inputs(spark, sf)
     rows = fac.document_rows(texts.tfidf(df, table, read_table(spark, sf, "documents"), sublinear=True), table)
-    components, _ = fac.fit_lsa(rows, len(listed), 6, iterations=5)
+    components, _ = fac.fit_lsa(rows, len(listed), 6, iterations=20)
     return fac.lsa_documents(rows, components).select(
         "doc_id", F.posexplode("topics").alias("topic", "weight")
     )

@@ -177,14 +177,14 @@ def rfm_scaled(spark, sf):
 def k1_kmeans(spark, sf):
     df, names = rfm_scaled(spark, sf)
     rows = ml.assembled(df, names)
-    model = cluster.fit_kmeans(rows, 4, restarts=4)
+    model = cluster.fit_kmeans(rows, 4, restarts=10)
     return model.transform(rows).select("customer_id", "cluster")
 
 
 @query("k2_elbow")
 def k2_elbow(spark, sf):
     df, names = rfm_scaled(spark, sf)
-    return cluster.elbow(df, names, range(1, 7), restarts=1)
+    return cluster.elbow(df, names, range(1, 11), restarts=10)
 
 
 # --- anomaly detection ------------------------------------------------------------------
@@ -212,14 +212,14 @@ def k5_outlier_factor(spark, sf):
 @query("k4_isolation_forest")
 def k4_isolation_forest(spark, sf):
     train, test = train_test(spark, sf)
-    forest = anomaly.fit_isolation_forest(train, "id", "embedding", trees=60)
+    forest = anomaly.fit_isolation_forest(train, "id", "embedding")
     return anomaly.isolation_score(test, forest, "embedding").select("id", "y", "score")
 
 
 @query("k6_one_class")
 def k6_one_class(spark, sf):
     train, test = train_test(spark, sf)
-    model = anomaly.fit_one_class(train, "id", "embedding", steps=12)
+    model = anomaly.fit_one_class(train, "embedding")
     return anomaly.one_class_score(test, model, "embedding").select("id", "y", "score")
 
 
@@ -242,8 +242,8 @@ def v13_detector_report(spark, sf):
     df = df.select("id", "y", "split", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
     df = features.standardize(df, names, train=df.filter("split = 'train'")).withColumn("x", F.array(*names)).persist()
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
-    forest = anomaly.fit_isolation_forest(train, "id", "x", trees=50)
-    machine = anomaly.fit_one_class(train, "id", "x", train_cap=2000, size=64, steps=6)
+    forest = anomaly.fit_isolation_forest(train, "id", "x")
+    machine = anomaly.fit_one_class(train, "x")
     weighted = ml.balanced_weights(ml.assembled(train, names), "y")
     logit = ml.logistic(weighted, label="y", weight="weight", iterations=50).fit(weighted)
     parts = [

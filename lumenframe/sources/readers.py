@@ -77,13 +77,21 @@ def read_labelled_texts(spark: SparkSession, paths: dict[str, str]) -> DataFrame
 def strip_message(text: str) -> F.Column:
     """Message body without header block, quoted lines and signature.
 
-    The header ends at the first blank line; quoted lines start with ``>`` or end
-    in an attribution; the footer starts at a line of dashes.
+    A header (a text whose first line is a field) ends at the first blank line, folded lines included;
+    quoted lines start with ``>`` or ``|`` or hold an attribution; the footer is the last block after a line of
+    dashes. Nothing before that line is cut.
     """
-    body = F.regexp_replace(F.col(text), r"(?s)\A(?:[A-Za-z-]+:[^\n]*\n)+\n", "")
-    body = F.regexp_replace(body, r"(?m)^(?:>|\|)[^\n]*\n?", "")
-    body = F.regexp_replace(body, r"(?m)^[^\n]*(?:writes|wrote):[^\n]*\n?", "")
-    return F.trim(F.regexp_replace(body, r"(?s)\n--+\s*\n.*\z", ""))
+    whole = F.col(text)
+    blank = F.instr(whole, "\n\n")
+    headed = whole.rlike(r"\A[A-Za-z-]+:[^\n]*\n") & (blank > 0)
+    body = F.when(headed, F.substr(whole, blank + 2)).otherwise(whole)
+    body = F.regexp_replace(body, r"(?m)^(?:>|\||In article|Quoted from)[^\n]*\n?", "")
+    body = F.regexp_replace(body, r"(?m)^[^\n]*(?:(?:writes|wrote|says|said):|writes in)[^\n]*\n?", "")
+    lines = F.split(F.regexp_replace(body, r"\s+\z", ""), "\n", -1)
+    dashes = F.transform(lines, lambda line: line.rlike(r"^\s*--+\s*$"))
+    behind = F.array_position(F.reverse(dashes), F.lit(True))  # lines from the last one of dashes on; 0 if none
+    kept = F.when(behind > 0, F.slice(lines, F.lit(1), F.size(lines) - behind.cast("int"))).otherwise(lines)
+    return F.trim(F.array_join(kept, "\n"))
 
 
 def read_corpus(

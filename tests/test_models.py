@@ -168,7 +168,7 @@ def test_isolation_forest_ranks_anomalies(clouds):
 
 def test_one_class_machine_ranks_anomalies(clouds):
     train, test = clouds
-    model = anomaly.fit_one_class(train.filter("y = 0"), "id", "x", steps=8)
+    model = anomaly.fit_one_class(train.filter("y = 0"), "x", steps=8)
     m = mean_scores(anomaly.one_class_score(test, model, "x"))
     assert m[1] > m[0]
 

@@ -106,6 +106,15 @@ def test_interpolation_matches_pandas(spark, hourly, chunk):
     assert np.allclose(full.sort_values("id")["filled"], want.fillna(want.median()))
 
 
+def test_interpolation_keeps_a_series_with_a_null_key(spark):
+    rows = [(s, t, float(t) if t != 1 else None) for s in ("a", None) for t in range(3)]
+    df = spark.createDataFrame(rows, "series string, t int, v double")
+    got = ts.interpolate(df, "v", ["t"], by=["series"]).collect()
+    assert sorted((str(r["series"]), r["t"], r["filled"]) for r in got) == [
+        (s, t, float(t)) for s in ("None", "a") for t in range(3)
+    ]
+
+
 @pytest.mark.parametrize("chunk", [100, 500_000])
 def test_history_matches_pandas(spark, hourly, chunk):
     got = (

@@ -43,6 +43,14 @@ def test_corpus_reader_strips_and_filters(spark, tmp_path):
     df = readers.read_corpus(spark, str(tmp_path), ["one"])
     row = df.collect()
     assert len(row) == 1 and row[0]["category"] == "one" and row[0]["text"] == "new words\nmore"
+    odd = [
+        ("From: a\nTo: b,\n c\n\nbody", "body"),
+        ("one\n---\ntwo\n--\nsig", "one\n---\ntwo"),
+        ("she says: x\nIn article 5\ntext", "text"),
+        ("no header\n\nlast", "no header\n\nlast"),
+    ]
+    bodies = spark.createDataFrame(odd, "m string, want string").withColumn("got", readers.strip_message("m"))
+    assert bodies.filter("got <> want").count() == 0
     assert readers.read_corpus(spark, str(tmp_path)).count() == 2
 
 
