@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.operators.joins import small_or_shuffled
@@ -145,13 +145,16 @@ def average_precision(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.groupBy(*by).agg(F.sum(step * precision).alias("average_precision"))
 
 
-def precision_at_k(df: DataFrame, label: str, score: str, id_column: str, by: Sequence[str] = ()) -> DataFrame:
+def precision_at_k(
+    df: DataFrame, label: str, score: str, id_column: str, by: Sequence[str] = (), counts: DataFrame | None = None
+) -> DataFrame:
     """Precision and recall among the k best scores, k = max(1, positives); ties go to the lower id.
 
-    Only rows tied at the k-th score need an order by id; all higher scores count whole.
+    Only rows tied at the k-th score need an order by id; all higher scores count whole. ``counts`` takes
+    the :func:`score_counts` of the same rows, if they are there already.
     """
     by = list(by)
-    counts = score_counts(df, label, score, by)
+    counts = score_counts(df, label, score, by) if counts is None else counts
     k = F.greatest(F.col("tp_total"), F.lit(1))
     upto = F.col("tp") + F.col("fp")
     reach = counts.withColumns({"k": k, "upto": upto, "size": F.col("pos") + F.col("neg")})
@@ -196,9 +199,14 @@ def alert_budget(
     counts = score_counts(df, label, score, by)
     n = (F.col("tp_total") + F.col("fp_total")).cast("double")
     upto, size = F.col("tp") + F.col("fp"), F.col("pos") + F.col("neg")
-    rows = counts.withColumn("budget", F.explode(F.array(*[F.lit(float(b)) for b in budgets])))
-    wanted = F.greatest(F.lit(1.0), F.least(F.bround(F.col("budget") * n), n))
-    at_edge = rows.filter((upto >= wanted) & (upto - size < wanted))
+
+    def reached(budget: Column) -> Column:
+        wanted = F.greatest(F.lit(1.0), F.least(F.bround(budget * n), n))
+        return (upto >= wanted) & (upto - size < wanted)
+
+    # Budgets are chosen before the rows multiply: most scores are no threshold at all.
+    mine = F.filter(F.array(*[F.lit(float(b)) for b in budgets]), reached)
+    at_edge = counts.withColumn("budget", F.explode(mine))
     return at_edge.select(
         *by,
         "budget",
@@ -251,7 +259,7 @@ def ranking_report(df: DataFrame, label: str, score: str, id_column: str, by: Se
     counts = score_counts(df, label, score, by)
     area = roc_auc(counts, by)
     ap = average_precision(counts, by)
-    at_k = precision_at_k(df, label, score, id_column, by)
+    at_k = precision_at_k(df, label, score, id_column, by, counts)
     return area.join(ap, by).join(at_k, by)
 
 
@@ -266,11 +274,3 @@ def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n
     """First ``n`` rows of each group; Spark limits every group per task before the shuffle."""
     window = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
-
-
-def metric_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    """Driver-side model scores as a long table; one row per (model, metric)."""
-    return spark.createDataFrame(
-        [(i, str(m), str(k), float(v)) for i, (m, k, v) in enumerate(rows)],
-        "position int, model string, metric string, value double",
-    )

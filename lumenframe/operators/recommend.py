@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions.columns import clip
 from lumenframe.operators.joins import without
-from lumenframe.operators.ordered import with_running
+from lumenframe.operators.ordered import with_position, with_running
 from lumenframe.session import checkpoint
 
 LOW, HIGH = 1.0, 5.0
@@ -237,33 +238,49 @@ def neighbour_predict(
     return joined.withColumn(name, predicted).drop("_base", "_weight", "_fallback", "_sum")
 
 
+class FactorModel(NamedTuple):
+    """A factorization with the numbers its axes got: (user_id, user_no) and (item_id, item_no)."""
+
+    als: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+
+def _numbered(train: DataFrame, axis: str) -> DataFrame:
+    """(id, number) of the axis: the factorization takes 32-bit numbers only, ids may be longer."""
+    ids = with_position(train.select(f"{axis}_id").distinct(), [f"{axis}_id"], name="_no")
+    return checkpoint(ids.select(f"{axis}_id", F.col("_no").cast("int").alias(f"{axis}_no")))
+
+
 def factor_fit(
     train: DataFrame, rank: int = 50, iterations: int = 15, reg: float = 0.05, seed: int = 42
-) -> ALSModel:
-    """Alternating least squares on what the biases leave; rank is kept below both axes."""
-    residual = bias_predict(train, train, "_base", clipped=False).select(
-        "user_id", "item_id", (F.col("rating") - F.col("_base")).alias("residual")
-    )
-    axes = train.agg(F.countDistinct("user_id").alias("u"), F.countDistinct("item_id").alias("i")).first()
+) -> FactorModel:
+    """Alternating least squares on what the biases leave; rank is kept below both axes. Ids of any size."""
+    users, items = _numbered(train, "user"), _numbered(train, "item")
+    residual = bias_predict(train, train, "_base", clipped=False).join(users, "user_id").join(items, "item_id")
     als = ALS(
-        rank=max(1, min(rank, min(axes.u, axes.i) - 1)),
+        rank=max(1, min(rank, min(users.count(), items.count()) - 1)),
         maxIter=iterations,
         regParam=reg,
-        userCol="user_id",
-        itemCol="item_id",
+        userCol="user_no",
+        itemCol="item_no",
         ratingCol="residual",
         seed=seed,
         coldStartStrategy="nan",
     )
-    return als.fit(residual)
+    rows = residual.select("user_no", "item_no", (F.col("rating") - F.col("_base")).alias("residual"))
+    return FactorModel(als.fit(rows), users, items)
 
 
-def factor_predict(model: ALSModel, train: DataFrame, pairs: DataFrame, name: str = "predicted") -> DataFrame:
+def factor_predict(model: FactorModel, train: DataFrame, pairs: DataFrame, name: str = "predicted") -> DataFrame:
     """Bias prediction plus the factor product; a new user or item keeps the bias prediction."""
     based = bias_predict(train, pairs, "_base", clipped=False)
-    scored = model.setPredictionCol("_factor").transform(based)
+    based = based.join(model.users, "user_id", "left").join(model.items, "item_id", "left")
+    based = based.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("user_no", "item_no")})
+    scored = model.als.setPredictionCol("_factor").transform(based)
     extra = F.nanvl(F.coalesce(F.col("_factor").cast("double"), F.lit(0.0)), F.lit(0.0))
-    return scored.withColumn(name, clip(F.col("_base") + extra, LOW, HIGH)).drop("_base", "_factor")
+    predicted = clip(F.col("_base") + extra, LOW, HIGH)
+    return scored.withColumn(name, predicted).drop("_base", "_factor", "user_no", "item_no")
 
 
 def training_curve(train: DataFrame, iterations: Sequence[int], **kw) -> DataFrame:
@@ -292,50 +309,49 @@ def top_items(scores: DataFrame, seen: DataFrame, n: int = 10) -> DataFrame:
     return fresh.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
-def recommend_by_bias(train: DataFrame, users: DataFrame, n: int = 10, max_users: int = 1000) -> DataFrame:
-    """Top ``n`` for a short list of users: one scan of the item biases, no join of users with items.
+def recommend_by_bias(train: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
+    """Top ``n`` by the biases for any number of users; a user without ratings has bias 0.
 
-    The list goes along as one literal array, so it has to be short; for all
-    users use the factor model, whose recommendation step works in blocks.
+    Scored block by block like the factors, without any: clipped scores tie, and which of the tied items
+    come first depends on all items, so no short common list of items would do.
     """
-    listed = users.select("user_id").distinct()
-    if listed.limit(max_users + 1).count() > max_users:
-        raise ValueError(f"more than {max_users} users; use recommend_by_factors")
     mean, user_bias, item_bias = bias_fit(train)
-    packed = (
-        listed.join(user_bias, "user_id", "left")
-        .agg(F.collect_list(F.struct("user_id", F.coalesce("user_bias", F.lit(0.0)).alias("user_bias"))))
-        .scalar()
-    )
-    scores = item_bias.select("item_id", "item_bias", F.explode(packed).alias("u")).select(
-        "u.user_id", "item_id", clip(mean + F.col("u.user_bias") + F.col("item_bias"), LOW, HIGH).alias("score")
-    )
-    seen = train.join(listed, "user_id", "left_semi")
-    return top_items(scores, seen, n)
+    none = F.array(F.lit(0.0).cast("float"))
+    chosen = users.select("user_id").distinct().join(user_bias, "user_id", "left")
+    chosen = chosen.select("user_id", (mean + F.coalesce("user_bias", F.lit(0.0))).alias("base"), none.alias("features"))
+    return _best_of_blocks(chosen, item_bias.withColumn("features", none), train, n)
 
 
-def recommend_by_factors(model: ALSModel, train: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
-    """Top ``n`` by bias plus factors for any number of users.
+def recommend_by_factors(model: FactorModel, train: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
+    """Top ``n`` by bias plus factors for any number of users with training ratings.
 
     The item bias joins the item factors as one more dimension (weight 1 on the
     user side), so ranking by the raw score is one factor product.
     """
     mean, user_bias, item_bias = bias_fit(train)
-    seen = train.join(users.select("user_id").distinct(), "user_id", "left_semi").select("user_id", "item_id")
-    items = model.itemFactors.join(item_bias, F.col("id") == F.col("item_id"))
-    packed = items.select("item_id", "item_bias", "features")
-    chosen = (
-        model.userFactors.join(users.select(F.col("user_id").alias("id")).distinct(), "id")
-        .join(user_bias.withColumnRenamed("user_id", "id"), "id")
-        .select(F.col("id").cast("long").alias("user_id"), (mean + F.col("user_bias")).alias("base"), "features")
+    factors = model.als.itemFactors.join(model.items, F.col("id") == F.col("item_no"))
+    items = factors.join(item_bias, "item_id").select("item_id", "item_bias", "features")
+    wanted = model.users.join(users.select("user_id").distinct(), "user_id").join(user_bias, "user_id")
+    chosen = model.als.userFactors.join(wanted, F.col("id") == F.col("user_no")).select(
+        "user_id", (mean + F.col("user_bias")).alias("base"), "features"
     )
-    scores = blocked_scores(chosen, packed, seen, n)
+    return _best_of_blocks(chosen, items, train, n)
+
+
+def _best_of_blocks(chosen: DataFrame, items: DataFrame, train: DataFrame, n: int) -> DataFrame:
+    seen = train.join(chosen.select("user_id"), "user_id", "left_semi").select("user_id", "item_id")
+    scores = blocked_scores(chosen, items, seen, n)
     best = Window.partitionBy("user_id").orderBy(F.desc("score"), F.desc("item_id"))
     return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
 def blocked_scores(users: DataFrame, items: DataFrame, seen: DataFrame, n: int, block_rows: int = 4096) -> DataFrame:
-    """Best ``n`` unseen items of each user within each item block, by one matrix product per block pair."""
+    """Best ``n`` unseen items of each user within each item block, by one matrix product per block pair.
+
+    Every block of users meets every block of items, as in Spark's own recommendation step: the work is
+    users x items, but what is emitted is ``n`` rows for a user and block, and a task holds one block of each.
+    """
+    users, items = checkpoint(users), checkpoint(items)
     sizes = [d.count() for d in (users, items)]
     n_user, n_item = (max(1, -(-s // block_rows)) for s in sizes)
     user_block = F.pmod(F.xxhash64("user_id"), F.lit(n_user))

@@ -62,15 +62,19 @@ def word_frequencies(df: DataFrame, label: str, tokens: Column, n: int = 100) ->
     return counts.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= n)
 
 
-def naive_bayes_fit(weights: DataFrame, label: str, smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+def naive_bayes_fit(
+    weights: DataFrame, label: str, documents: DataFrame, smoothing: float = 1.0
+) -> tuple[DataFrame, DataFrame]:
     """Multinomial naive Bayes on term weights: (class, term, log_p) and (class, log_prior, log_rest).
 
-    Class priors are plain shares of documents. ``log_rest`` is the log
-    probability of a vocabulary term that never occurs with the class.
+    Class priors are plain shares of ``documents``, with those that have no known term. ``log_rest`` is the
+    log probability of a vocabulary term that never occurs with the class.
     """
-    docs = weights.groupBy(label).agg(F.countDistinct("doc_id").alias("docs"), F.sum("weight").alias("mass"))
-    size = weights.agg(F.countDistinct("term")).scalar()
-    total = docs.agg(F.sum("docs")).scalar()
+    sizes = documents.groupBy(label).agg(F.count(F.lit(1)).alias("docs"))
+    masses = weights.groupBy(label).agg(F.sum("weight").alias("mass"))
+    docs = sizes.join(masses, label, "left").withColumn("mass", F.coalesce("mass", F.lit(0.0)))
+    size = weights.select("term").distinct().agg(F.count(F.lit(1))).scalar()
+    total = sizes.agg(F.sum("docs")).scalar()
     classes = docs.select(
         F.col(label).alias("class"),
         F.log(F.col("docs") / total).alias("log_prior"),
@@ -78,28 +82,29 @@ def naive_bayes_fit(weights: DataFrame, label: str, smoothing: float = 1.0) -> t
         (F.col("mass") + smoothing * size).alias("_mass"),
     )
     terms = weights.groupBy(F.col(label).alias("class"), "term").agg(F.sum("weight").alias("_w"))
-    terms = terms.join(F.broadcast(classes.select("class", "_mass")), "class").select(
+    terms = terms.join(classes.select("class", "_mass"), "class").select(
         "class", "term", F.log((F.col("_w") + smoothing) / F.col("_mass")).alias("log_p")
     )
     return terms, classes.drop("_mass")
 
 
 def naive_bayes_predict(
-    weights: DataFrame, terms: DataFrame, classes: DataFrame, doc: str = "doc_id"
+    weights: DataFrame, terms: DataFrame, classes: DataFrame, documents: DataFrame, doc: str = "doc_id"
 ) -> DataFrame:
-    """Class with the highest joint log likelihood per document; the lower class wins a tie.
+    """Class with the highest joint log likelihood of each of ``documents``; the lower class wins a tie.
 
     score(class) = log_prior + sum(weight x log_p): first every term counts with
-    ``log_rest``, then terms seen with the class add their difference. Class
-    tables are bounded by classes x vocabulary.
+    ``log_rest``, then terms seen with the class add their difference. A document
+    without a known term gets the class with the highest prior.
     """
-    model = terms.join(F.broadcast(classes.select("class", "log_rest")), "class").select(
+    model = terms.join(classes.select("class", "log_rest"), "class").select(
         "class", "term", (F.col("log_p") - F.col("log_rest")).alias("_gain")
     )
-    mass = weights.groupBy(doc).agg(F.sum("weight").alias("_mass"))
+    masses = weights.groupBy(doc).agg(F.sum("weight").alias("_mass"))
+    mass = documents.select(doc).join(masses, doc, "left").withColumn("_mass", F.coalesce("_mass", F.lit(0.0)))
     gains = (
         weights.select(doc, "term", "weight")
-        .join(F.broadcast(model), "term")
+        .join(model, "term")
         .groupBy(doc, "class")
         .agg(F.sum(F.col("weight") * F.col("_gain")).alias("_gain"))
     )

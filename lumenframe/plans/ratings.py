@@ -52,10 +52,15 @@ def e8_item_popularity(spark, sf):
     FROM c LEFT JOIN part ON p_partkey = item_id""",
 )
 def j1_title_lookup(spark, sf):
+    return with_title(spark, sf, popularity(spark, sf)).select("item_id", "count", "title")
+
+
+def with_title(spark, sf, df):
+    """Adds the title of every item; one without a title is called by its number."""
     titles = read_table(spark, sf, "part")
     titles = titles.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
     default = F.concat(F.lit("item "), F.col("item_id").cast("string"))
-    return lookup(popularity(spark, sf), titles, "item_id", {"title": default}).select("item_id", "count", "title")
+    return lookup(df, titles, "item_id", {"title": default})
 
 
 @query(
@@ -263,21 +268,35 @@ def n6_training_curve(spark, sf):
     return rec.training_curve(train, (1, 2, 4), rank=8)
 
 
-@query(
-    "n7_top_items",
-    f"""WITH {BIAS}, heavy AS (SELECT user_id FROM train GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1),
+def top_items_sql(users: str) -> str:
+    return f"""WITH {BIAS}, chosen AS ({users}),
     s AS (SELECT user_id, item_id, least(greatest((SELECT mu FROM mu) + user_bias + item_bias, 1), 5) AS score
-      FROM heavy JOIN bu USING (user_id), bi),
+      FROM chosen JOIN bu USING (user_id), bi),
     f AS (SELECT * FROM s WHERE NOT EXISTS (
-      SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.item_id = s.item_id))
-    SELECT user_id, item_id, round(score, 6) AS score,
-      CAST(row_number() OVER (ORDER BY score DESC, item_id DESC) AS INTEGER) AS rank
-    FROM f QUALIFY rank <= 10""",
+      SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.item_id = s.item_id)),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id DESC) AS INTEGER) AS rank
+      FROM f QUALIFY rank <= 10)
+    SELECT user_id, item_id, round(score, 6) AS score, rank, coalesce(p_name, 'item ' || item_id) AS title
+    FROM r LEFT JOIN part ON p_partkey = item_id"""
+
+
+def top_items(spark, sf, choose):
+    train, _ = split(spark, sf)
+    best = with_title(spark, sf, rec.recommend_by_bias(train, choose(train), 10))
+    return rounded(best.select("user_id", "item_id", "score", "rank", "title"), 6, "score")
+
+
+@query(
+    "n7_top_items",
+    top_items_sql("SELECT user_id FROM train GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1"),
 )
 def n7_top_items(spark, sf):
-    train, _ = split(spark, sf)
-    best = rec.recommend_by_bias(train, rec.most_active(train), 10)
-    return rounded(best.select("user_id", "item_id", "score", "rank"), 6, "score")
+    return top_items(spark, sf, rec.most_active)
+
+
+@query("n7_top_items_all_users", top_items_sql("SELECT DISTINCT user_id FROM train"))
+def n7_top_items_all_users(spark, sf):
+    return top_items(spark, sf, lambda train: train.select("user_id"))
 
 
 @query("n7_top_items_by_factors")
@@ -285,4 +304,4 @@ def n7_top_items_by_factors(spark, sf):
     """Ten unseen items for every user with a training rating."""
     train, _ = split(spark, sf)
     model = rec.factor_fit(train, rank=8, iterations=3)
-    return rec.recommend_by_factors(model, train, train.select("user_id"), 10)
+    return with_title(spark, sf, rec.recommend_by_factors(model, train, train.select("user_id"), 10))

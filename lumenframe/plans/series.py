@@ -198,10 +198,29 @@ def c17_residual(spark, sf):
     return predicted(spark, sf).select("event_id", F.round(fx.residual("value", "predicted"), 6).alias("residual"))
 
 
-@query("e22_normal_qq")
+def polynomial_sql(coefficients: tuple[float, ...], x: str) -> str:
+    return " + ".join(f"{c!r}::DOUBLE * pow({x}, {k})" for k, c in enumerate(coefficients))
+
+
+def ratio_sql(part: int, x: str) -> str:
+    above, below = (polynomial_sql(c, x) for c in stats.AS241[part])
+    return f"({above}) / ({below})"
+
+
+@query(
+    "e22_normal_qq",
+    f"""WITH {PREDICTED}, r AS (SELECT event_id, round(value - predicted, 9) AS r FROM e WHERE value - predicted IS NOT NULL),
+    o AS (SELECT event_id, r, row_number() OVER (ORDER BY r, event_id) AS i, count(*) OVER () AS n FROM r),
+    m AS (SELECT event_id, r, CASE WHEN i = n THEN pow(0.5, 1 / n) WHEN i = 1 THEN 1 - pow(0.5, 1 / n)
+      ELSE (i - 0.3175) / (n + 0.365) END AS p FROM o),
+    t AS (SELECT *, p - 0.5 AS q, sqrt(-ln(least(p, 1 - p))) AS t FROM m)
+    SELECT event_id, round(CASE WHEN abs(q) <= 0.425 THEN q * {ratio_sql(0, '(0.180625 - q * q)')}
+      WHEN t <= 5 THEN sign(q) * {ratio_sql(1, '(t - 1.6)')} ELSE sign(q) * {ratio_sql(2, '(t - 5)')} END, 6) + 0 AS theoretical,
+      round(r, 6) + 0 AS observed FROM t""",
+)
 def e22_normal_qq(spark, sf):
-    df = predicted(spark, sf).withColumn("residual", fx.residual("value", "predicted"))
-    return stats.normal_qq(df, "residual", "event_id")
+    df = predicted(spark, sf).withColumn("residual", F.round(fx.residual("value", "predicted"), 9))
+    return rounded(stats.normal_qq(df, "residual", "event_id"), 6, "theoretical", "observed")
 
 
 @query(

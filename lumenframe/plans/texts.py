@@ -209,16 +209,19 @@ def d4_prediction_filter(spark, sf):
 
 NB = f"""{tfidf_sql('tf')}, {REVIEWS},
   lw AS (SELECT w.doc_id, term, weight, label FROM weights w JOIN reviews USING (doc_id)),
-  cls AS (SELECT label, count(DISTINCT doc_id) AS docs, sum(weight) AS mass FROM lw GROUP BY label),
-  sz AS (SELECT count(DISTINCT term) AS v, count(DISTINCT doc_id) AS n FROM lw),
+  ms AS (SELECT label, sum(weight) AS mass FROM lw GROUP BY label),
+  cls AS (SELECT r.label, count(*) AS docs, coalesce(any_value(mass), 0) AS mass FROM reviews r
+    LEFT JOIN ms ON ms.label = r.label GROUP BY r.label),
+  sz AS (SELECT (SELECT count(DISTINCT term) FROM lw) AS v, count(*) AS n FROM reviews),
   grid AS (SELECT cls.label, term, docs, mass FROM cls, (SELECT DISTINCT term FROM lw)),
   lp AS (SELECT g.label, g.term, ln((coalesce(sum(weight), 0) + 1) / (any_value(mass) + (SELECT v FROM sz))) AS log_p
     FROM grid g LEFT JOIN lw ON lw.label = g.label AND lw.term = g.term GROUP BY ALL)"""
 
 
 def labelled_weights(spark, sf):
+    """Term weights with the label, and the labelled documents."""
     labels = reviews(spark, sf).select("doc_id", "label")
-    return checkpoint(weights(spark, sf).select("doc_id", "term", "weight").join(labels, "doc_id"))
+    return checkpoint(weights(spark, sf).select("doc_id", "term", "weight").join(labels, "doc_id")), labels
 
 
 @query(
@@ -227,22 +230,24 @@ def labelled_weights(spark, sf):
     WHERE EXISTS (SELECT 1 FROM lw WHERE lw.label = lp.label AND lw.term = lp.term)""",
 )
 def m11_naive_bayes_terms(spark, sf):
-    terms, _ = texts.naive_bayes_fit(labelled_weights(spark, sf), "label")
+    df, labels = labelled_weights(spark, sf)
+    terms, _ = texts.naive_bayes_fit(df, "label", labels)
     return rounded(terms, 6, "log_p")
 
 
 @query(
     "m11_naive_bayes_predict",
-    f"""WITH {NB}, sc AS (SELECT doc_id, lp.label AS class,
-      ln(any_value(docs) / (SELECT n FROM sz)) + sum(weight * log_p) AS score
-      FROM lw JOIN lp ON lw.term = lp.term JOIN cls ON cls.label = lp.label GROUP BY ALL)
+    f"""WITH {NB}, lk AS (SELECT doc_id, lp.label, sum(weight * log_p) AS s FROM lw JOIN lp ON lw.term = lp.term GROUP BY ALL),
+    rc AS (SELECT doc_id, cls.label, docs FROM reviews, cls),
+    sc AS (SELECT rc.doc_id, rc.label AS class, ln(docs / (SELECT n FROM sz)) + coalesce(s, 0) AS score
+      FROM rc LEFT JOIN lk ON lk.doc_id = rc.doc_id AND lk.label = rc.label)
     SELECT doc_id, class AS prediction, round(score, 6) AS score FROM sc
     QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, class) = 1""",
 )
 def m11_naive_bayes_predict(spark, sf):
-    df = labelled_weights(spark, sf)
-    terms, classes = texts.naive_bayes_fit(df, "label")
-    return rounded(texts.naive_bayes_predict(df, terms, classes), 6, "score")
+    df, labels = labelled_weights(spark, sf)
+    terms, classes = texts.naive_bayes_fit(df, "label", labels)
+    return rounded(texts.naive_bayes_predict(df, terms, classes, labels), 6, "score")
 
 
 # --- topics -----------------------------------------------------------------------------

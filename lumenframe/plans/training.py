@@ -84,7 +84,7 @@ REGRESSORS = {
     "m1_linear": lambda train: ml.linear(),
     "m2_ridge": lambda train: ml.ridge(train, 1.0),
     "m3_lasso": lambda train: ml.lasso(0.001),
-    "m4_forest": lambda train: ml.forest_regressor(10, 8),
+    "m4_forest": lambda train: ml.forest_regressor(50, 12),
     "m5_boosted": lambda train: ml.boosted_regressor(10, 4),
 }
 
@@ -120,7 +120,7 @@ def m16_grid_search(spark, sf):
 @query("m17_learning_curve")
 def m17_learning_curve(spark, sf):
     train, _ = parts(price_rows(spark, sf))
-    return ml.learning_curve(ml.linear(), train, "id", shares=(0.1, 0.4, 0.7, 1.0))
+    return ml.learning_curve(ml.linear(), train, "id")
 
 
 @query("m18_importance")
@@ -200,7 +200,7 @@ def m8_multinomial(spark, sf):
 @query("m9_forest_classifier")
 def m9_forest_classifier(spark, sf):
     train, test = vector_rows(spark, sf, "label")
-    return ml.multiclass_report("forest", ml.forest_classifier(30, 10, 5).fit(train).transform(test))
+    return ml.multiclass_report("forest", ml.forest_classifier(100, 15, 5).fit(train).transform(test))
 
 
 @query("m10_boosted_classifier")
@@ -301,13 +301,18 @@ def topic_inputs(spark, sf, words=1500):
     listed = checkpoint(vocabulary).toPandas().sort_values("term").reset_index(drop=True)
     listed["index"] = np.arange(len(listed), dtype="int32")
     table = spark.createDataFrame(listed[["term", "df", "index"]])
-    return df, table, listed
+    return df, docs, table, listed
+
+
+def factor_inputs(spark, sf):
+    """Term counts, the listed vocabulary, and a row of weights for every document."""
+    df, docs, table, listed = topic_inputs(spark, sf)
+    return df, listed, fac.document_rows(texts.tfidf(df, table, docs, sublinear=True), table, docs)
 
 
 @query("t1_nmf")
 def t1_nmf(spark, sf):
-    df, table, listed = topic_inputs(spark, sf)
-    rows = fac.document_rows(texts.tfidf(df, table, read_table(spark, sf, "documents"), sublinear=True), table)
+    _, listed, rows = factor_inputs(spark, sf)
     h, losses = fac.fit_nmf(rows, len(listed), 6, iterations=8)
     top = topics.top_words(fac.topic_table(spark, h, listed), 15)
     return top.withColumn("loss", F.lit(losses[-1]))
@@ -315,8 +320,7 @@ def t1_nmf(spark, sf):
 
 @query("t3_lsa")
 def t3_lsa(spark, sf):
-    df, table, listed = topic_inputs(spark, sf)
-    rows = fac.document_rows(texts.tfidf(df, table, read_table(spark, sf, "documents"), sublinear=True), table)
+    _, listed, rows = factor_inputs(spark, sf)
     components, _ = fac.fit_lsa(rows, len(listed), 6, iterations=20)
     return fac.lsa_documents(rows, components).select(
         "doc_id", F.posexplode("topics").alias("topic", "weight")
@@ -330,7 +334,7 @@ def t2_lda(spark, sf):
     docs = documents(spark, sf).select("doc_id", tx.word_tokens("text", ENGLISH).alias("terms"))
     vectorizer = CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=1500, minDF=2.0, maxDF=0.95).fit(docs)
     rows = checkpoint(vectorizer.transform(docs).select("doc_id", "counts"))
-    model = fac.fit_lda(rows, rows.count(), 6, passes=3, least_share=0.25)
+    model = fac.fit_lda(rows, 6)
     shares = model.transform(rows).select("doc_id", vector_to_array("topicDistribution").alias("distribution"))
     return topics.dominant_topic(shares, "distribution").select("doc_id", "topic", "confidence")
 
@@ -338,8 +342,7 @@ def t2_lda(spark, sf):
 @query("t6_model_coherence")
 def t6_model_coherence(spark, sf):
     """Mean coherence of the factorizations, words compared as strings."""
-    df, table, listed = topic_inputs(spark, sf)
-    rows = fac.document_rows(texts.tfidf(df, table, read_table(spark, sf, "documents"), sublinear=True), table)
+    df, listed, rows = factor_inputs(spark, sf)
     h, _ = fac.fit_nmf(rows, len(listed), 6, iterations=5)
     components, _ = fac.fit_lsa(rows, len(listed), 6, iterations=4)
     out = []

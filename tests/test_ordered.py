@@ -200,6 +200,15 @@ def test_describe_matches_pandas(spark, frame):
     )
 
 
+def test_normal_quantile_equals_the_standard_library(spark):
+    from statistics import NormalDist
+
+    p = [1e-300, 1e-30, 1e-9, 0.001, 0.07, 0.075, 0.3, 0.5, 0.925, 0.93, 0.999, 1 - 1e-12]
+    df = spark.createDataFrame([(x,) for x in p], "p double")
+    got = [r["z"] for r in df.orderBy("p").select(stats.normal_quantile(F.col("p")).alias("z")).collect()]
+    assert np.allclose(got, [NormalDist().inv_cdf(x) for x in p], rtol=1e-13, atol=1e-15)
+
+
 def test_normal_qq_is_monotone(spark, frame):
     got = stats.normal_qq(spark.createDataFrame(frame), "v", "id").toPandas().sort_values(["theoretical"])
     assert (np.diff(got["observed"]) >= 0).all()

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from lumenframe.operators import evaluate as ev
 from lumenframe.operators import recommend as rec
@@ -107,9 +108,27 @@ def test_equal_scores_put_the_larger_item_first(spark):
     assert list(got["item_id"]) == [3, 2]
 
 
-def test_user_list_is_bounded(spark, halves):
-    with pytest.raises(ValueError):
-        rec.recommend_by_bias(halves[0], halves[0].select("user_id"), 3, max_users=2)
+def test_bias_recommendations_of_all_users_match_dense_scores(spark, halves):
+    train, _ = halves
+    got = rec.recommend_by_bias(train, train.select("user_id"), 3).toPandas()
+    pairs = train.select("user_id").distinct().crossJoin(train.select("item_id").distinct())
+    every = rec.bias_predict(train, pairs).toPandas()
+    seen = set(map(tuple, train.select("user_id", "item_id").toPandas().to_numpy()))
+    every = every[[tuple(p) not in seen for p in every[["user_id", "item_id"]].to_numpy()]]
+    best = every.sort_values(["user_id", "predicted", "item_id"], ascending=[True, False, False]).groupby("user_id").head(3)
+    a, b = (d[["user_id", "item_id"]].to_numpy().tolist() for d in (got.sort_values(["user_id", "rank"]), best))
+    assert a == b
+
+
+def test_long_ids_give_the_same_factors(spark, halves):
+    train, test = halves
+    far = {"user_id": F.col("user_id") + 5_000_000_000, "item_id": F.col("item_id") + 7_000_000_000}
+    near = rec.factor_predict(rec.factor_fit(train, rank=3, iterations=3), train, test)
+    model = rec.factor_fit(train.withColumns(far), rank=3, iterations=3)
+    moved = rec.factor_predict(model, train.withColumns(far), test.withColumns(far))
+    a, b = (d.orderBy("user_id", "item_id").toPandas()["predicted"] for d in (near, moved))
+    assert np.allclose(a, b, atol=0.2) and b.between(1, 5).all()
+    assert rec.recommend_by_factors(model, train.withColumns(far), train.withColumns(far), 2).count() == 80
 
 
 def test_factor_recommendations_match_dense_scores(spark, halves):

@@ -111,8 +111,8 @@ def test_vectorizer_pipeline_equals_long_weights(corpus, weights):
 
 def test_naive_bayes_matches_numpy(corpus, weights):
     w = weights[2].join(corpus.select("doc_id", "label"), "doc_id")
-    terms, classes = texts.naive_bayes_fit(w, "label")
-    got = texts.naive_bayes_predict(w, terms, classes).orderBy("doc_id").toPandas()
+    terms, classes = texts.naive_bayes_fit(w, "label", corpus)
+    got = texts.naive_bayes_predict(w, terms, classes, corpus).orderBy("doc_id").toPandas()
     m = w.toPandas().pivot(index="doc_id", columns="term", values="weight").fillna(0)
     y = corpus.orderBy("doc_id").toPandas()["label"].to_numpy()
     mass = np.stack([m[y == c].sum().to_numpy() for c in (0, 1)])
@@ -121,12 +121,32 @@ def test_naive_bayes_matches_numpy(corpus, weights):
     assert np.allclose(got["score"], joint.max(1)) and (got["prediction"] == joint.argmax(1)).all()
 
 
+def test_documents_without_known_terms_stay(spark, corpus, weights):
+    """They get the class with the highest prior, and zero topic weights."""
+    counts, words, w = weights
+    extra = spark.createDataFrame([(1000, "unheard of", 1), (1001, None, 1)], "doc_id long, text string, label int")
+    both = corpus.unionByName(extra)
+    labelled = w.join(corpus.select("doc_id", "label"), "doc_id")
+    terms, classes = texts.naive_bayes_fit(labelled, "label", both)
+    got = texts.naive_bayes_predict(labelled, terms, classes, both).toPandas().set_index("doc_id")
+    assert len(got) == 122 and (got.loc[[1000, 1001], "prediction"] == 1).all()
+    assert np.allclose(got.loc[[1000, 1001], "score"], math.log(62 / 122))
+    listed = words.toPandas().sort_values("term").reset_index(drop=True)
+    listed["index"] = np.arange(len(listed), dtype="int32")
+    rows = fac.document_rows(w, spark.createDataFrame(listed[["term", "index"]]), both)
+    h, _ = fac.fit_nmf(rows, len(listed), 3, iterations=2)
+    components, _ = fac.fit_lsa(rows, len(listed), 3, iterations=2)
+    for table in (fac.nmf_documents(rows, h), fac.lsa_documents(rows, components)):
+        topics_of = table.toPandas().set_index("doc_id")["topics"]
+        assert len(topics_of) == 122 and np.allclose(np.stack(topics_of.loc[[1000, 1001]]), 0)
+
+
 @pytest.fixture(scope="module")
-def factor_input(spark, weights):
+def factor_input(spark, corpus, weights):
     counts, words, w = weights
     listed = words.toPandas().sort_values("term").reset_index(drop=True)
     listed["index"] = np.arange(len(listed), dtype="int32")
-    rows = fac.document_rows(w, spark.createDataFrame(listed[["term", "index"]]))
+    rows = fac.document_rows(w, spark.createDataFrame(listed[["term", "index"]]), corpus)
     dense = np.zeros((120, len(listed)))
     at = dict(zip(listed["term"], listed["index"]))
     for r in w.collect():
