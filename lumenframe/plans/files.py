@@ -123,24 +123,27 @@ def a6_read_labelled_texts(spark, sf):
 
 @query(
     "a7_read_corpus",
-    """SELECT doc_id, lang AS category, length(text) AS size FROM documents WHERE lang IN ('en', 'de')""",
+    """WITH t AS (SELECT doc_id, lang, regexp_replace(text, '[\\x09-\\x0D\\x20]+', ' ', 'g') AS body FROM documents)
+    SELECT doc_id, lang AS category, length(body) AS size, md5(body) AS digest FROM t WHERE lang IN ('en', 'de')""",
 )
 def a7_read_corpus(spark, sf):
-    """Messages with a header block, an attribution line, a quoted line and a signature around the text."""
-    messages = read_table(spark, sf, "documents").select(
-        "doc_id",
-        F.col("lang").alias("category"),
-        F.concat(
-            F.lit("From: a@example.com\nSubject: x\n\nB. writes:\n> earlier\n[[["),
-            F.regexp_replace("text", r"\s+", " "),
-            F.lit("]]]\n--\nB.\n"),
-        ).alias("message"),
-        F.length("text").cast("long").alias("size"),
+    """One file per message in a folder per category, read back without header, attribution, quote and signature."""
+    message = F.concat(
+        F.lit("From: a@example.com\nSubject: a long\n  folded line\n\nB. writes:\n> earlier\n[[["),
+        F.concat(F.col("doc_id").cast("string"), F.lit("]]]\n--\n((("), F.regexp_replace("text", r"[\x09-\x0D\x20]+", " ")),
+        F.lit(")))\n--\nB.\n"),
+    )
+    folder = scratch_path(spark, "corpus")
+    messages = read_table(spark, sf, "documents").select(message.alias("value"), F.col("lang").alias("category"))
+    messages.write.option("maxRecordsPerFile", 1).partitionBy("category").text(folder)
+    read = readers.read_corpus(spark, folder, ["category=en", "category=de"])
+    body = F.regexp_extract("text", r"(?s)\A\[\[\[(\d+)\]\]\]\n--\n\(\(\((.*)\)\)\)\z", 2)
+    return read.select(
+        F.regexp_extract("text", r"\A\[\[\[(\d+)\]\]\]", 1).cast("long").alias("doc_id"),
+        F.regexp_replace("category", "^category=", "").alias("category"),
+        F.length(body).cast("long").alias("size"),
+        F.md5(body.cast("binary")).alias("digest"),
     )
-    kept = messages.filter(F.col("category").isin("en", "de"))
-    body = kept.withColumn("message", readers.strip_message("message"))
-    whole = body.filter(F.col("message").startswith("[[[") & F.col("message").endswith("]]]"))
-    return whole.select("doc_id", "category", "size")
 
 
 @query(
@@ -209,12 +212,15 @@ def b4_write_summary(spark, sf):
 
 @query(
     "c18_feature_columns",
-    "SELECT count(*) AS rows, CAST(3 AS INTEGER) AS features FROM part",
+    """SELECT p_partkey, list_sort(['p_partkey', 'p_size', 'p_retailprice']) AS names,
+      round(p_partkey + p_size + p_retailprice, 4) AS total FROM part""",
 )
 def c18_feature_columns(spark, sf):
-    """Number of columns left as features once the targets are out."""
+    """The columns that are left as features once the targets are out, and their sum in every row."""
     df = read_table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice").withColumns(
         {"quality": F.col("p_size") % 10, "quality_binary": fx.threshold_label("p_size", 7)}
     )
     names = readers.feature_columns(df, ["quality", "quality_binary"])
-    return df.select(*names).agg(F.count(F.lit(1)).alias("rows"), F.lit(len(names)).alias("features"))
+    total = sum((F.col(n).cast("double") for n in names), F.lit(0.0))
+    listed = F.sort_array(F.array(*[F.lit(n) for n in names]))
+    return rounded(df.select("p_partkey", listed.alias("names"), total.alias("total")), 4, "total")

@@ -254,7 +254,7 @@ def n4_item_knn(spark, sf):
 def n5_factorization(spark, sf):
     """Test error of the factor model next to the bias baseline."""
     train, test = split(spark, sf)
-    model = rec.factor_fit(train, rank=16, iterations=8, reg=0.3)
+    model = rec.factor_fit(train, rank=50, iterations=25, reg=0.3)
     parts = [
         ev.regression_metrics(d, "rating", "predicted").select(F.lit(n).alias("model"), "rmse", "mae")
         for n, d in (("factors", rec.factor_predict(model, train, test)), ("bias", rec.bias_predict(train, test)))
