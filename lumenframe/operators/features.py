@@ -87,12 +87,6 @@ def unit_length(df: DataFrame, column: str, name: str = "unit", floor: float = 1
     return df.withColumn(name, F.transform(as_double, lambda x: x / (F.sqrt(squares) + floor)))
 
 
-def centered(df: DataFrame, by: str, value: str, name: str = "deviation") -> DataFrame:
-    """Value minus the mean of its group. Means come from a pre-aggregated join, not a window."""
-    means = df.groupBy(by).agg(F.avg(value).alias("_mean"))
-    return df.join(means, by).withColumn(name, F.col(value) - F.col("_mean")).drop("_mean")
-
-
 def fit_pca(df: DataFrame, column: str, k: int, output: str = "components") -> PipelineModel:
     """Centre, then project: Spark's PCA fits on centred rows but projects rows as they are."""
     center = StandardScaler(inputCol=column, outputCol="_centered", withMean=True, withStd=False)

@@ -174,19 +174,3 @@ def approximate_quantiles(
         for i, p in enumerate(probabilities)
     ]
     return wide.select(*by, F.explode(F.array(*cells)).alias("_cell")).select(*by, "_cell.*")
-
-
-def quantile_row(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """One row with an array of quantiles per column, ready for scalar lookups."""
-    long = exact_quantiles(df, columns, probabilities)
-    return long.agg(
-        *[
-            F.transform(
-                F.array_sort(
-                    F.collect_list(F.when(F.col("column") == c, F.struct("probability", "value")))
-                ),
-                lambda cell: cell["value"],
-            ).alias(c)
-            for c in columns
-        ]
-    )

@@ -11,7 +11,7 @@ from lumenframe.operators import models as ml
 from lumenframe.operators.ordered import with_running
 from lumenframe.plans.registry import query
 from lumenframe.plans.sales import rfm_table, rounded
-from lumenframe.plans.views import LISTINGS, RFM, SERIES, listings, scored, series, split_key_sql, vectors
+from lumenframe.plans.views import LISTINGS, RFM, SERIES, listings, series, split_key_sql, vectors
 from lumenframe.sources.readers import read_table
 
 KEY = split_key_sql("vec_id")

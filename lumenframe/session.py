@@ -19,6 +19,7 @@ def local_session(app: str = "lumenframe", cores: str = "8", partitions: int = 8
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -48,12 +49,12 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach, named by ``spark.checkpoint.dir`` or set on the context.
 
     A temporary folder stands in only for a local master, where the one machine
     is the whole cluster.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -1,7 +1,6 @@
 """Readers, writers, segmentation and small column helpers."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from lumenframe.functions import columns as fx
 from lumenframe.operators import rfm as seg
@@ -91,13 +90,6 @@ def test_ratio_by_zero_is_null(spark):
     assert row[0] is None
 
 
-def test_levels_are_bounded(spark):
-    df = spark.range(20).withColumn("v", F.col("id").cast("string"))
-    with pytest.raises(ValueError):
-        fx.distinct_levels(df, "v", 10)
-    assert len(fx.distinct_levels(df, "v")) == 20
-
-
 def test_large_side_tables_are_not_broadcast(spark):
     side, rows = spark.range(50), spark.range(100)
     small = rows.join(small_or_shuffled(side), "id")._jdf.queryExecution().optimizedPlan().toString()
