@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from lumenframe.operators import evaluate as ev
 from lumenframe.operators import sampling
 from lumenframe.operators.ordered import with_position
+from lumenframe.session import checkpoint
 
 # --- estimators -------------------------------------------------------------------------
 
@@ -249,15 +250,19 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 def fit_all(estimators: Mapping[str, Estimator], train: DataFrame, parallelism: int = 4) -> dict[str, Model]:
     """Fits every estimator on the same rows, which stay in executor storage meanwhile.
 
-    Up to ``parallelism`` fits submit their jobs at the same time.
+    Up to ``parallelism`` fits submit their jobs at the same time. Rows that the caller has cached stay cached.
     """
-    train = train.persist()
+    level = train.storageLevel
+    cached = level.useMemory or level.useDisk
+    if not cached:
+        train = train.persist()
     try:
         with ThreadPool(max(1, min(parallelism, len(estimators)))) as pool:
             fit = inheritable_thread_target(train.sparkSession)(lambda e: e.fit(train))
             return dict(zip(estimators, pool.map(fit, list(estimators.values()))))
     finally:
-        train.unpersist()
+        if not cached:
+            train.unpersist()
 
 
 def cross_validator(
@@ -323,7 +328,7 @@ def learning_curve(
 ) -> DataFrame:
     """Training and validation R2 (mean, population deviation over folds) for growing training shares."""
     rows = with_folds(df, id_column, folds).withColumn("_u", sampling.split_key(id_column, seed=11) / 4294967296.0)
-    rows = rows.persist()
+    rows = checkpoint(rows)
     parts = []
     for share in shares:
         for fold in range(folds):
@@ -366,7 +371,7 @@ def permutation_importance(
         F.pmod(F.col("_at") + F.ceil(F.col("_n") / 2), F.col("_n")).alias("_at"),
         *[F.col(c).alias(f"_d_{c}") for c in columns],
     )
-    rows = placed.join(donors, "_at").persist()
+    rows = checkpoint(placed.join(donors, "_at"))
     base = ev.regression_metrics(model.transform(assembled(rows, columns)), label, "prediction").select("r2")
     parts = []
     for c in columns:

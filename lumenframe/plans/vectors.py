@@ -12,6 +12,7 @@ from lumenframe.operators.ordered import with_running
 from lumenframe.plans.registry import query
 from lumenframe.plans.sales import rfm_table, rounded
 from lumenframe.plans.views import LISTINGS, RFM, SERIES, listings, series, split_key_sql, vectors
+from lumenframe.session import checkpoint
 from lumenframe.sources.readers import read_table
 
 KEY = split_key_sql("vec_id")
@@ -240,7 +241,8 @@ def v13_detector_report(spark, sf):
     df = sampling.random_split(event_features(spark, sf), "id", by=["y"])
     names = [f"x{i}" for i in range(4)]
     df = df.select("id", "y", "split", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
-    df = features.standardize(df, names, train=df.filter("split = 'train'")).withColumn("x", F.array(*names)).persist()
+    df = features.standardize(df, names, train=df.filter("split = 'train'")).withColumn("x", F.array(*names))
+    df = checkpoint(df)
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
     forest = anomaly.fit_isolation_forest(train, "id", "x")
     machine = anomaly.fit_one_class(train, "x")
