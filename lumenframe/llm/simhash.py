@@ -212,7 +212,12 @@ def near_duplicates(
     prints, name = with_fingerprint(base)
     prints = checkpoint(prints.select("doc_id", F.col(name).alias("fp"), "row"))
     distinct = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(fingerprint_links(distinct.select("fp"), radius))
+    return with_components(prints, distinct, fingerprint_links(distinct.select("fp"), radius))
+
+
+def with_components(prints: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """``prints`` with the smallest id (``least`` of ``distinct``) that each ``fp`` reaches by the links (a, b)."""
+    roots = connected_components(links)
     joined = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -226,7 +231,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
 
     Documents of components without any id all stay, but equal rows of them once.
     """
-    found = near_duplicates(docs, doc_id, text, radius)
+    return first_of_each(docs, near_duplicates(docs, doc_id, text, radius), doc_id)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that come first in their component of ``found`` (doc_id, row, component_id)."""
     first = found.where("component_id is not null").groupBy("component_id")
     kept = first.agg(F.min(F.struct("doc_id", "row")).alias("k")).select("k.doc_id", "k.row")
     kept = kept.unionByName(found.where("component_id is null").select("doc_id", "row").distinct())
