@@ -1,6 +1,7 @@
 import corpus_pipeline as C
+from test_near import plain_components
 
-from lumenframe.llm import decontaminate, secrets, simhash, toxicity
+from lumenframe.llm import decontaminate, secrets, toxicity
 from lumenframe.llm.tokens import default_path
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def test_stages_take_effect(spark, tmp_path):
             scored, struct = toxicity.score_toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet"))
             kept = {r["doc_id"] for r in scored.collect() if r[struct]["score"] < 0.7}
         elif name == "simhash":
-            kept = {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+            kept = set(plain_components([(i, r["text"]) for i, r in before.items()]).values())
         elif name == "decontamination":
             matched, struct = decontaminate.find_matches(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))
             bad = decontaminate.measured(matched, struct)["contaminated"]
