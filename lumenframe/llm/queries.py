@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import decontaminate, matrices, packing, pitman_yor, secrets, simhash, sketches
-from lumenframe.llm import toxicity, wordpiece, wrappers
-from lumenframe.llm.common import documents
-from lumenframe.llm.sql import DECONTAMINATION_SQL, SECRETS_SQL
+from lumenframe.llm import best_fit, decontaminate, infill, matrices, merkle, packing, pitman_yor, secrets, simhash
+from lumenframe.llm import sketches, toxicity, wordpiece, wrappers
+from lumenframe.llm.common import crc_of, documents
+from lumenframe.llm.sql import DECONTAMINATION_SQL, INFILL_SQL, MERKLE_SQL, SECRETS_SQL
 
 
 def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,6 +83,36 @@ def op10_piece_counts(spark: SparkSession, sf: str) -> DataFrame:
     return wordpiece.piece_counts(documents(spark, sf))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    fields = {c: F.col(c) for c in merkle.FIELDS} | {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    changed = merkle.digest(merkle.joined_fields(list(fields.values())))
+    rows = merkle.manifest(documents(spark, sf), changed=F.when(crc_of("doc_id") % 2 == 0, changed))
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.digest(merkle.proof_text("path")).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    cut, name = infill.fill_in_middle(documents(spark, sf).select("doc_id", "text"))
+    made = {n: F.col(name)[n] for n in infill.RESULT.names}
+    return cut.select(
+        "doc_id",
+        *[made[n].alias(n) for n in ("n", "form", "prefix_chars", "middle_chars")],
+        merkle.digest(made["output"]).alias("output_sha256"),
+        merkle.digest(infill.restored(made["output"], made["form"])).alias("restored_sha256"),
+    )
+
+
+def op13_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return best_fit.pack_best_fit(documents(spark, sf), with_ids=False).drop("ids")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -96,7 +126,15 @@ QUERIES = {
         op8_toxicity,
         op9_fingerprints,
         op10_piece_counts,
+        op11_merkle_manifest,
+        op12_fill_in_middle,
+        op13_best_fit_packing,
     )
 }
 
-ORACLES = {"op1_secret_scan": SECRETS_SQL, "op2_decontamination": DECONTAMINATION_SQL}
+ORACLES = {
+    "op1_secret_scan": SECRETS_SQL,
+    "op2_decontamination": DECONTAMINATION_SQL,
+    "op11_merkle_manifest": MERKLE_SQL,
+    "op12_fill_in_middle": INFILL_SQL,
+}

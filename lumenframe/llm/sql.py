@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lumenframe.llm.infill import SENTINELS
 from lumenframe.llm.secrets import ACCESS, ALLOW, ASSIGN, ASSIGN_LEAST, CLASSES, HEX, KINDS
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -100,3 +101,108 @@ SELECT doc_id,
   sha256({_text("base")}) AS base_sha256, {_text("every")} AS spans
 FROM a
 """
+
+
+def _field(value: str) -> str:
+    said = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(CAST(octet_length(encode({said})) AS VARCHAR) || ':' || {said}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(concat(" + ", ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + "))"
+
+
+def _crc32(text: str) -> str:
+    """The checksum bit by bit; DuckDB has no function for it."""
+    step = "lambda c, k: xor(c >> 1, 3988292384 * (c & 1))"
+    byte = f"list_reduce(list_concat([xor(c, x)], [0, 0, 0, 0, 0, 0, 0, 0]), {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, x: {byte}), 4294967295)"
+
+
+_UP = "CAST((pos - pos % 3) / 3 AS BIGINT)"
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS pos,
+         count(*) OVER (PARTITION BY source) AS total
+  FROM (SELECT doc_id, source, {_leaf("text")} AS leaf,
+               CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")}
+                    ELSE {_leaf("text")} END AS now
+        FROM documents)
+), nodes AS (
+  SELECT 0 AS level, source, pos, total, leaf AS node FROM leaves
+  UNION ALL (
+    SELECT level + 1, source, {_UP}, CAST(ceil(total / 3) AS BIGINT), sha256(string_agg(node, '' ORDER BY pos))
+    FROM nodes WHERE total > 1 GROUP BY level, source, total, {_UP})
+), tops AS (
+  SELECT source, node AS subroot, CAST(row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS BIGINT) AS pos,
+         count(*) OVER () AS total
+  FROM nodes WHERE total = 1
+), upper_nodes AS (
+  SELECT 0 AS level, pos, total, subroot AS node FROM tops
+  UNION ALL (
+    SELECT level + 1, {_UP}, CAST(ceil(total / 3) AS BIGINT), sha256(string_agg(node, '' ORDER BY pos))
+    FROM upper_nodes WHERE total > 1 GROUP BY level, total, {_UP})
+), every AS MATERIALIZED (
+  SELECT level, source, false AS upper, pos, total, node FROM nodes
+  UNION ALL SELECT level, NULL, true, pos, total, node FROM upper_nodes
+), beside AS MATERIALIZED (
+  SELECT n.upper, n.source, n.level, n.pos,
+         coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos < n.pos), '') AS before,
+         coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos > n.pos), '') AS after
+  FROM every n JOIN every s ON n.upper = s.upper AND n.level = s.level AND n.source IS NOT DISTINCT FROM s.source
+    AND n.pos - n.pos % 3 = s.pos - s.pos % 3
+  WHERE n.total > 1 GROUP BY n.upper, n.source, n.level, n.pos
+), path AS (
+  SELECT doc_id, leaf, source, false AS upper, 0 AS level, pos, now, '' AS proof, total FROM leaves
+  UNION ALL (
+    SELECT p.doc_id, p.leaf, p.source,
+      p.upper OR p.total = 1, CASE WHEN p.total = 1 THEN 0 ELSE p.level + 1 END,
+      CASE WHEN p.total = 1 THEN t.pos ELSE CAST((p.pos - p.pos % 3) / 3 AS BIGINT) END,
+      CASE WHEN p.total = 1 THEN p.now ELSE sha256(b.before || p.now || b.after) END,
+      CASE WHEN p.total = 1 THEN p.proof ELSE p.proof || b.before || b.after END,
+      CASE WHEN p.total = 1 THEN t.total ELSE CAST(ceil(p.total / 3) AS BIGINT) END
+    FROM path p LEFT JOIN tops t ON p.source IS NOT DISTINCT FROM t.source
+    LEFT JOIN beside b ON b.upper = p.upper AND b.level = p.level AND b.pos = p.pos
+      AND (p.upper OR b.source IS NOT DISTINCT FROM p.source)
+    WHERE p.total > 1 OR NOT p.upper)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, now AS folded_root, now = root AS verified
+FROM path p JOIN tops t ON p.source IS NOT DISTINCT FROM t.source
+CROSS JOIN (SELECT node AS root FROM upper_nodes WHERE total = 1)
+WHERE p.upper AND p.total = 1
+"""
+
+_P, _S, _M = SENTINELS
+_HASH = "sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))"
+
+
+def _hash_part(k: int) -> str:
+    return f"CAST('0x' || substr({_HASH}, {8 * k + 1}, 8) AS BIGINT)"
+
+
+INFILL_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+         {", ".join(f"{_hash_part(k)} AS h{k + 1}" for k in range(4))}
+  FROM documents
+), cut AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+         greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '{_P}') OR contains(t, '{_S}') OR contains(t, '{_M}') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid,
+         array_to_string(u[b + 1:n], '') AS suf
+  FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('{_P}', pre, '{_S}', suf, '{_M}', mid)
+         ELSE concat('{_S}', suf, '{_P}', pre, '{_M}', mid) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
