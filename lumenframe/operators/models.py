@@ -14,24 +14,23 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.operators import evaluate as ev
 from lumenframe.operators import sampling
+from lumenframe.operators.boosting import BoostedTrees, Boosting
 from lumenframe.operators.ordered import with_position
 from lumenframe.session import checkpoint
 
@@ -74,18 +73,13 @@ def boosted_regressor(
     rate: float = 0.1,
     sample: float = 0.8,
     columns: float = 1.0,
+    penalty: float | None = None,
     label: str = "label",
+    id_column: str = "id",
     seed: int = 42,
-) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol=label,
-        maxIter=rounds,
-        maxDepth=depth,
-        stepSize=rate,
-        subsamplingRate=sample,
-        featureSubsetStrategy="all" if columns >= 1 else str(columns),
-        seed=seed,
-    )
+) -> BoostedTrees:
+    settings = Boosting(rounds, depth, rate, sample, columns, penalty=penalty, seed=seed)
+    return BoostedTrees(settings, "squared", label, id_column=id_column)
 
 
 def logistic(train: DataFrame, c: float = 1.0, label: str = "label", weight: str | None = None, iterations: int = 200):
@@ -115,11 +109,17 @@ def forest_classifier(
 
 
 def boosted_classifier(
-    rounds: int = 100, depth: int = 4, rate: float = 0.1, classes: int = 2, label: str = "label", seed: int = 42
-) -> Estimator:
-    """Boosted trees; more than two classes go one against the rest."""
-    tree = GBTClassifier(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
-    return tree if classes == 2 else OneVsRest(classifier=tree, labelCol=label, parallelism=2)
+    rounds: int = 100,
+    depth: int = 4,
+    rate: float = 0.1,
+    classes: int = 2,
+    label: str = "label",
+    id_column: str = "id",
+    seed: int = 42,
+) -> BoostedTrees:
+    """Boosted trees; with more than two classes a tree per class and round, on softmax gradients."""
+    loss = "logistic" if classes == 2 else "softmax"
+    return BoostedTrees(Boosting(rounds, depth, rate, seed=seed), loss, label, id_column=id_column)
 
 
 def naive_bayes(smoothing: float = 1.0, label: str = "label") -> NaiveBayes:

@@ -93,7 +93,7 @@ def test_cross_validation_and_learning_curve(rows):
 
 
 def test_grid_search_reports_every_setting(rows):
-    _, table = ml.grid_search(ml.boosted_regressor(), [{"maxIter": 2}, {"maxIter": 6}], rows, "id")
+    _, table = ml.grid_search(ml.forest_regressor(), [{"maxDepth": 1}, {"maxDepth": 6}], rows, "id")
     got = table.orderBy("setting").toPandas()
     assert len(got) == 2 and got["score"].iloc[1] > got["score"].iloc[0]
 
