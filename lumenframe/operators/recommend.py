@@ -309,17 +309,104 @@ def top_items(scores: DataFrame, seen: DataFrame, n: int = 10) -> DataFrame:
     return fresh.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
-def recommend_by_bias(train: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
+#: Items of a block in the order of their bias, ids kept of the blocks before it, users of a group.
+BIAS_BLOCK, BIAS_KEPT, BIAS_USERS = 4096, 1024, 8192
+
+
+def bias_blocks(item_bias: DataFrame, block: int = BIAS_BLOCK, kept: int = BIAS_KEPT) -> tuple[DataFrame, DataFrame]:
+    """Items in blocks of falling bias, and what a user of each block has to look at.
+
+    Returns (block, item_id, item_bias, before) with the candidates of a block: its items, those of the next one, and
+    (``before`` true) the ``kept`` highest ids of all blocks before it; and (block, top, complete, after) with
+    the largest bias of the block, whether those ids are all, and the largest bias behind the next block.
+    """
+    placed = with_position(item_bias.where("item_bias is not null"), [F.desc("item_bias"), F.desc("item_id")], name="_at")
+    placed = checkpoint(placed.select(F.floor(F.col("_at") / block).alias("block"), "item_id", "item_bias"))
+    # The highest ids before a block: at most ``kept`` of each block, carried from block to block. A row of ids per
+    # block is small, so running unions are taken over (block, ids) and cut each time.
+    by_id = Window.partitionBy("block").orderBy(F.desc("item_id"))
+    highest = placed.withColumn("_r", F.row_number().over(by_id)).where(F.col("_r") <= kept)
+    bounds = placed.groupBy("block").agg(F.max("item_bias").alias("top"))
+    blocks = checkpoint(bounds)
+    last = blocks.agg(F.max("block")).scalar()
+    level, lists = 1, checkpoint(highest.select("block", "item_id", "item_bias"))
+    n_blocks = blocks.count()
+    while level < n_blocks:  # after a turn a list covers the last 2 * level blocks
+        moved = lists.withColumn("block", F.col("block") + level).where(F.col("block") <= last)
+        both = lists.unionByName(moved).withColumn("_r", F.row_number().over(by_id)).where(F.col("_r") <= kept)
+        lists, level = checkpoint(both.select("block", "item_id", "item_bias")), 2 * level
+    before = lists.withColumn("block", F.col("block") + 1).where(F.col("block") <= last)
+    own = placed.unionByName(placed.withColumn("block", F.col("block") - 1).where("block >= 0"))
+    candidates = own.withColumn("before", F.lit(False)).unionByName(before.withColumn("before", F.lit(True)))
+    after = blocks.select((F.col("block") - 2).alias("block"), F.col("top").alias("after"))
+    whole = blocks.withColumn("complete", F.col("block") * block <= kept).join(after, "block", "left")
+    return checkpoint(candidates), whole
+
+
+def recommend_by_bias(
+    train: DataFrame,
+    users: DataFrame,
+    n: int = 10,
+    block: int = BIAS_BLOCK,
+    kept: int = BIAS_KEPT,
+    per_group: int = BIAS_USERS,
+) -> DataFrame:
     """Top ``n`` by the biases for any number of users; a user without ratings has bias 0.
 
-    Scored block by block like the factors, without any: clipped scores tie, and which of the tied items
-    come first depends on all items, so no short common list of items would do.
+    Scores follow the items' biases but for two things: clipped scores tie, and seen items are left out. A
+    user looks at the block where its scores come down from the upper bound, the next block, and the highest
+    ids of all blocks before, whose scores all tie. That settles nearly every user, whatever the number of items;
+    a user who has seen too much of it, or whose scores tie at the lower bound, is scored against all items.
     """
     mean, user_bias, item_bias = bias_fit(train)
-    none = F.array(F.lit(0.0).cast("float"))
     chosen = users.select("user_id").distinct().join(user_bias, "user_id", "left")
-    chosen = chosen.select("user_id", (mean + F.coalesce("user_bias", F.lit(0.0))).alias("base"), none.alias("features"))
-    return _best_of_blocks(chosen, item_bias.withColumn("features", none), train, n)
+    chosen = chosen.select("user_id", (mean + F.coalesce("user_bias", F.lit(0.0))).alias("base"))
+    items = checkpoint(item_bias)
+    candidates, blocks = bias_blocks(items, block, kept)
+    # One number per block of items, smallest first: the last block whose best score is at the bound.
+    bounds = blocks.agg(F.array_sort(F.collect_list(F.struct((-F.col("top")).alias("t"), "block")))).scalar()
+    full = F.filter("_bounds", lambda b: F.col("base") - b["t"] >= HIGH)
+    chosen = checkpoint(chosen)
+    placed = chosen.withColumn("_bounds", bounds).withColumn("block", F.greatest(F.size(full) - 1, F.lit(0)).cast("long"))
+    crowd = placed.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / per_group).cast("long").alias("parts"))
+    placed = placed.join(crowd, "block").withColumn("part", F.pmod(F.xxhash64("user_id"), F.col("parts")))
+    placed = checkpoint(placed.select("user_id", "base", "block", "part"))
+    looked = candidates.join(crowd, "block").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    known = train.select("user_id", "item_id").join(placed.select("user_id", "block"), "user_id")
+    known = known.join(candidates.select("block", "item_id"), ["block", "item_id"], "left_semi")
+    known = known.groupBy("user_id").agg(F.collect_set("item_id").alias("seen"))  # at most the candidates of a block
+    left = placed.join(known, "user_id", "left").join(blocks, "block")
+
+    def settle(key, people, catalog):
+        out = []
+        ids, bias, old = (catalog[c].to_numpy() for c in ("item_id", "item_bias", "before"))
+        order = np.argsort(-ids, kind="stable")
+        ids, bias, old = ids[order], bias[order], old[order].astype(bool)
+        for p in people.itertuples(index=False):
+            score = np.clip(p.base + bias, LOW, HIGH)
+            fresh = np.ones(len(ids), dtype=bool)
+            if p.seen is not None:
+                at = len(ids) - 1 - np.searchsorted(ids[::-1], np.asarray(p.seen, dtype=ids.dtype))
+                fresh[at] = False
+            enough = p.complete or int((fresh & old).sum()) >= n
+            place = np.flatnonzero(fresh)
+            best = place[np.argsort(-score[place], kind="stable")[:n]]
+            beyond = -np.inf if p.after is None or np.isnan(p.after) else float(np.clip(p.base + p.after, LOW, HIGH))
+            if enough and (beyond == -np.inf or (len(best) == n and score[best[-1]] > beyond)):
+                out.append(pd.DataFrame({"user_id": p.user_id, "item_id": ids[best], "score": score[best]}))
+            else:
+                out.append(pd.DataFrame({"user_id": [p.user_id], "item_id": [0], "score": [None]}))
+        return pd.concat(out) if out else pd.DataFrame({"user_id": [], "item_id": [], "score": []})
+
+    grouped = left.groupBy("block", "part").cogroup(looked.groupBy("block", "part"))
+    settled = checkpoint(grouped.applyInPandas(settle, "user_id long, item_id long, score double"))
+    done = settled.where("score is not null")
+    best = Window.partitionBy("user_id").orderBy(F.desc("score"), F.desc("item_id"))
+    done = done.withColumn("rank", F.row_number().over(best))
+    none = F.array(F.lit(0.0).cast("float"))
+    open_users = chosen.join(settled.where("score is null").select("user_id"), "user_id", "left_semi")
+    rest = _best_of_blocks(open_users.withColumn("features", none), items.withColumn("features", none), train, n)
+    return done.unionByName(rest.select(*done.columns))
 
 
 def recommend_by_factors(model: FactorModel, train: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:

@@ -143,3 +143,22 @@ def test_factor_recommendations_match_dense_scores(spark, halves):
     a = got.sort_values(["user_id", "rank"])["score"].to_numpy()
     assert np.allclose(a, best.sort_values(["user_id", "predicted"], ascending=[True, False])["predicted"], atol=1e-5)
     assert not seen & set(map(tuple, got[["user_id", "item_id"]].to_numpy()))
+
+
+@pytest.mark.parametrize("block,kept,per_group", [(4096, 1024, 8192), (3, 100, 7), (4, 2, 5), (1, 1, 1000)])
+def test_bias_recommendations_need_few_items(spark, pattern, block, kept, per_group):
+    """Blocks of a few items, short lists before them (many users fall back), scores at both bounds."""
+    rng = np.random.default_rng(3)
+    wide = pattern.assign(rating=np.clip(pattern["rating"] + rng.choice([-3, 0, 3], len(pattern)), 1, 5))
+    wide = pd.concat([wide, pd.DataFrame({"user_id": [90] * 5 + [91] * 5, "item_id": [0, 1, 2, 3, 4] * 2, "rating": [5.0] * 5 + [1.0] * 5})])
+    train = spark.createDataFrame(wide)
+    mean = wide["rating"].mean()
+    user, item = (wide.groupby(c)["rating"].mean() - mean for c in ("user_id", "item_id"))
+    people = spark.createDataFrame([(int(u),) for u in [*user.index, 999]], "user_id long")
+    got = rec.recommend_by_bias(train, people, 4, block, kept, per_group).toPandas()
+    seen = set(zip(wide["user_id"], wide["item_id"]))
+    want = []
+    for u in [*user.index, 999]:
+        scores = [(np.clip(mean + user.get(u, 0.0) + b, 1, 5), i) for i, b in item.items() if (u, i) not in seen]
+        want += [(u, i, k + 1) for k, (_, i) in enumerate(sorted(((round(s, 9), i) for s, i in scores), reverse=True)[:4])]
+    assert sorted(zip(got["user_id"], got["item_id"], got["rank"])) == sorted(want)
