@@ -210,6 +210,21 @@ def k5_outlier_factor(spark, sf):
     return rounded(anomaly.outlier_factor(train, test, "id", "embedding", 20, block_rows=1024), 6, "score")
 
 
+@query("k5_outlier_factor_candidates")
+def k5_outlier_factor_candidates(spark, sf):
+    train, test = train_test(spark, sf)
+    found = anomaly.outlier_factor(train, test, "id", "embedding", 20, candidates=anomaly.Candidates())
+    return rounded(found, 6, "score")
+
+
+@query("k5_neighbour_recall")
+def k5_neighbour_recall(spark, sf):
+    """Twenty neighbours of every test vector from the buckets: the share of the exact ones."""
+    train, test = train_test(spark, sf)
+    exact = anomaly.nearest_neighbours(test, train, "id", "embedding", 20)
+    return anomaly.neighbour_recall(anomaly.approximate_neighbours(test, train, "id", "embedding", 20), exact)
+
+
 @query("k4_isolation_forest")
 def k4_isolation_forest(spark, sf):
     train, test = train_test(spark, sf)
@@ -237,7 +252,7 @@ def event_features(spark, sf):
 
 @query("v13_detector_report")
 def v13_detector_report(spark, sf):
-    """Isolation forest, one-class machine and weighted logistic regression on the events, one report."""
+    """Isolation forest, outlier factor, one-class machine and weighted logistic regression on the events, one report."""
     df = sampling.random_split(event_features(spark, sf), "id", by=["y"])
     names = [f"x{i}" for i in range(4)]
     df = df.select("id", "y", "split", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
@@ -248,7 +263,9 @@ def v13_detector_report(spark, sf):
     machine = anomaly.fit_one_class(train, "x")
     weighted = ml.balanced_weights(ml.assembled(train, names), "y")
     logit = ml.logistic(weighted, label="y", weight="weight", iterations=50).fit(weighted)
+    factor = anomaly.outlier_factor(train, test, "id", "x", 20, candidates=anomaly.Candidates())
     parts = [
+        test.join(factor, "id").select(F.lit("outlier_factor").alias("method"), "id", "y", "score"),
         anomaly.isolation_score(test, forest, "x").select(F.lit("isolation_forest").alias("method"), "id", "y", "score"),
         anomaly.one_class_score(test, machine, "x").select(F.lit("one_class").alias("method"), "id", "y", "score"),
         ml.scored(logit, ml.assembled(test, names)).select(

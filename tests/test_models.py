@@ -197,6 +197,48 @@ def test_outlier_factor_matches_brute_force(clouds, block):
     assert np.allclose(got["score"], brute_lof(np.stack(a["x"]), np.stack(b["x"]), 15))
 
 
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """Forty loose clusters in 16 dimensions, a third of the rows copies of one point."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 3, (40, 16))[rng.integers(0, 40, 4000)] + rng.normal(0, 1, (4000, 16))
+    x = np.vstack([x, np.repeat(x[:1], 2000, axis=0)])
+    return spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, x array<double>").cache()
+
+
+def test_buckets_find_the_neighbours(crowd):
+    queries = crowd.filter("id % 20 = 0")
+    exact = anomaly.nearest_neighbours(queries, crowd, "id", "x", 10)
+    plan = anomaly.Candidates(tables=8, bucket_rows=256, probes=12)
+    found = anomaly.approximate_neighbours(queries, crowd, "id", "x", 10, plan, block_rows=200)
+    got = anomaly.neighbour_recall(found, exact).first()
+    assert got["recall"] >= 0.9 and got["neighbours"] == 300 * 10
+    one = anomaly.approximate_neighbours(queries, crowd, "id", "x", 10, anomaly.Candidates(bucket_rows=10_000))
+    order = ["query", "distance", "point"]
+    a, b = (d.orderBy(*order).toPandas() for d in (one, exact))
+    assert (a[["query", "point"]].to_numpy() == b[["query", "point"]].to_numpy()).all()
+
+
+def test_probes_are_the_nearest_buckets():
+    rng = np.random.default_rng(0)
+    margins = rng.normal(size=(20, 5))
+    got = anomaly.bucket_bits(margins, 6)
+    for row, places in zip(margins, got):
+        own = sum(1 << j for j in range(5) if row[j] > 0)
+        cost = {own ^ c: sum(row[j] ** 2 for j in range(5) if c >> j & 1) for c in range(32)}
+        assert list(places) == sorted(cost, key=cost.get)[:6]
+    assert anomaly.bucket_bits(np.zeros((3, 0)), 4).tolist() == [[0]] * 3
+
+
+def test_outlier_factor_among_candidates(clouds):
+    train, test = clouds
+    a, b = (
+        anomaly.outlier_factor(train, test, "id", "x", k=15, candidates=c).orderBy("id").toPandas()
+        for c in (None, anomaly.Candidates(bucket_rows=64))
+    )
+    assert list(a["id"]) == list(b["id"]) and np.corrcoef(a["score"], b["score"])[0, 1] > 0.95
+
+
 def test_supervised_detector_finds_separable_fraud(clouds):
     train, test = (d.withColumn("features", array_to_vector("x")).withColumn("label", F.col("y").cast("double")) for d in clouds)
     weighted = ml.balanced_weights(train)
