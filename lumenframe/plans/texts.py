@@ -254,7 +254,7 @@ def m11_naive_bayes_predict(spark, sf):
 
 TOPIC_WEIGHTS = f"""{COUNTS}, langs AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS topic
     FROM (SELECT DISTINCT lang FROM documents)),
-  tw AS (SELECT topic, term, CAST(sum(tf) AS DOUBLE) AS weight FROM counts JOIN langs USING (lang) GROUP BY ALL)"""
+  tw AS MATERIALIZED (SELECT topic, term, CAST(sum(tf) AS DOUBLE) AS weight FROM counts JOIN langs USING (lang) GROUP BY ALL)"""
 
 
 def language_codes(spark, sf):
@@ -275,7 +275,7 @@ def topic_weights(spark, sf, per_doc=None):
     return checkpoint(coded.select(F.col("topic").cast("int").alias("topic"), "term", "weight"))
 
 
-TOP = """top AS (SELECT topic, term, weight,
+TOP = """top AS MATERIALIZED (SELECT topic, term, weight,
   CAST(row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS INTEGER) AS rank FROM tw QUALIFY rank <= {n})"""
 
 
