@@ -3,7 +3,8 @@
 Three base patterns (an assigned credential, an access key id, a long hexadecimal run) and, beyond
 them, a sliding window of Shannon entropy: over every run of one character class (``hex``, ``base64``)
 that is long enough, the entropy of each window follows from that of the window before by one
-character entering and one leaving. Runs that the allow-list knows are not reported.
+character entering and one leaving. Runs that the allow-list knows are not reported; of those, the parts between
+slashes are scanned by themselves.
 
 Positions without a position function: the pieces between the matches and the matches themselves
 both come from one pattern, so their lengths add up to the start of every match.
@@ -167,7 +168,18 @@ def _entropy_spans(text: Column, cls: CharClass, allow: Sequence[str], base: Col
             said = said | value.rlike(f"(?i){pattern}")
         return said
 
-    runs = F.filter(runs, lambda m: ~harmless(m["value"]))
+    def parts(run: Column) -> Column:
+        """A known run is no secret, but what stands between two slashes of it may be one."""
+        own = _matches(run["value"], f"(?<![^/])[^/]{{{cls.window},}}+", 0)
+        moved = F.transform(
+            own,
+            lambda m: F.struct(
+                (run["start"] + m["start"]).alias("start"), (run["start"] + m["end"]).alias("end"), m["value"].alias("value")
+            ),
+        )
+        return F.filter(moved, lambda m: ~harmless(m["value"]))
+
+    runs = F.flatten(F.transform(runs, lambda m: F.when(harmless(m["value"]), parts(m)).otherwise(F.array(m))))
     placed = F.transform(
         runs, lambda m: F.struct(m["start"].alias("at"), _hot_range(m["value"], cls).alias("hot"))
     )
@@ -179,9 +191,17 @@ def _entropy_spans(text: Column, cls: CharClass, allow: Sequence[str], base: Col
             (p["at"] + p["hot"]["last"] + cls.window).alias("end"),
         ),
     )
-    return F.filter(
-        spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    return F.filter(spans, lambda s: ~_covered(s, base))
+
+
+def _covered(span: Column, base: Column) -> Column:
+    """Whether the base spans, sorted by start, leave no character of the span out."""
+    reached = F.aggregate(
+        base,
+        span["start"].cast("long"),
+        lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at),
     )
+    return reached >= span["end"]
 
 
 def find_secrets(
@@ -195,8 +215,8 @@ def find_secrets(
     """Adds ``base_name`` and ``name``: array<struct<start, rank, end>> by start, then kind (``KINDS[rank]``).
 
     Start is the place of the match's first character, end is exclusive, both in code points. A base
-    span is the whole match. Entropy spans that touch a base span are left out, since the base span
-    already reports them. A null or empty text has no spans; ties in start are ordered by kind. Rows are
+    span is the whole match. Entropy spans that base spans cover are left out; one that reaches further stays, so
+    spans may overlap. A null or empty text has no spans; ties in start are ordered by kind. Rows are
     independent of each other: no shuffle, repeated rows give repeated results, an empty table an empty one.
     """
     base_col, all_col = fresh(base_name, docs.columns), fresh(name, docs.columns)

@@ -64,10 +64,15 @@ def _spans(source: str, kind: str) -> str:
 def _entropy(cls) -> str:
     runs = _matches(f"{cls.members}{{{cls.window},}}", 0)
     known = " OR ".join(f"regexp_matches(m.value, {_quoted('(?i)' + a)})" for a in ALLOW)
+    parts = "string_split(r.value, '/')"
+    tokens = f"""list_filter(list_transform(range(1, len({parts}) + 1), lambda k: {{
+      'start': r.start + coalesce(list_sum(list_transform({parts}[1:k - 1], lambda x: len(x) + 1)), 0),
+      'size': len({parts}[k]), 'value': {parts}[k]}}), lambda m: m.size >= {cls.window} AND NOT ({known}))"""
+    runs = f"""flatten(list_transform({runs}, lambda r:
+      CASE WHEN len(list_filter([r], lambda m: {known})) > 0 THEN {tokens} ELSE [r] END))"""
     hot = f"""list_filter(range(0, len(m.value) - {cls.window} + 1), lambda s:
       list_aggregate(string_split(m.value[s + 1 : s + {cls.window}], ''), 'entropy') >= {cls.bits})"""
-    found = f"""list_transform(list_filter({runs}, lambda m: NOT ({known})), lambda m:
-      {{'at': m.start, 'hot': {hot}}})"""
+    found = f"""list_transform({runs}, lambda m: {{'at': m.start, 'hot': {hot}}})"""
     return f"""list_transform(list_filter({found}, lambda p: len(p.hot) > 0), lambda p: {{
       'start': p.at + p.hot[1], 'rank': {KINDS.index(cls.kind)}, 'end': p.at + p.hot[-1] + {cls.window}}})"""
 
@@ -80,7 +85,8 @@ def _text(spans: str) -> str:
 
 _HEX, _ACCESS = HEX.split(")", 1)[1].removesuffix("+"), ACCESS
 _MORE = ", ".join(f"{_entropy(c)} AS e{k}" for k, c in enumerate(CLASSES))
-_APART = "lambda s: len(list_filter(base, lambda b: b.start < s.end AND s.start < b.end)) = 0"
+_FURTHER = """lambda s: len(list_filter(range(CAST(s.start AS BIGINT), CAST(s."end" AS BIGINT)), lambda k:
+  len(list_filter(base, lambda b: b.start <= k AND k < b.end)) = 0)) > 0"""
 
 SECRETS_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -93,7 +99,7 @@ b AS (
 ), e AS (SELECT doc_id, base, {_MORE} FROM b),
 a AS (
   SELECT doc_id, base,
-    list_sort(list_concat(base, {", ".join(f"list_filter(e{k}, {_APART})" for k in range(len(CLASSES)))})) AS every
+    list_sort(list_concat(base, {", ".join(f"list_filter(e{k}, {_FURTHER})" for k in range(len(CLASSES)))})) AS every
   FROM e
 )
 SELECT doc_id,

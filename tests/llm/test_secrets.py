@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -10,6 +11,8 @@ from lumenframe.llm import queries, secrets
 
 ASSIGN = re.compile("((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 KEY = "AKIA" + "ABCDEFGH12345678"
+_SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+RANDOM = "".join(random.Random(5).choices(_SIGNS, k=100))
 
 
 def base_spans(text):
@@ -23,17 +26,22 @@ def entropy(window):
     return -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
 
 
+def harmless(run):
+    return any(re.search(a, run, re.I) for a in secrets.ALLOW)
+
+
 def entropy_spans(text, base):
     out = []
     for rank, cls in enumerate(secrets.CLASSES, start=3):
+        runs = []
         for m in re.finditer(f"{cls.members}+", text):
-            run = m[0]
-            if len(run) < cls.window or any(re.search(a, run, re.I) for a in secrets.ALLOW):
-                continue
+            parts = re.finditer("[^/]+", m[0]) if harmless(m[0]) else re.finditer(".+", m[0])
+            runs += [(m.start() + p.start(), p[0]) for p in parts if not harmless(p[0])]
+        for start, run in runs:
             hot = [k for k in range(len(run) - cls.window + 1) if entropy(run[k : k + cls.window]) >= cls.bits]
             if hot:
-                span = (m.start() + hot[0], rank, m.start() + hot[-1] + cls.window)
-                if not any(b[0] < span[2] and span[0] < b[2] for b in base):
+                span = (start + hot[0], rank, start + hot[-1] + cls.window)
+                if any(not any(b[0] <= k < b[2] for b in base) for k in range(span[0], span[2])):
                     out.append(span)
     return out
 
@@ -54,6 +62,9 @@ TEXTS = [
     None,
     "",
     "token=" + "x" * 5000 + " " + "ab" * 4000,
+    f"{KEY}/{RANDOM[:40]} x",
+    f"{RANDOM} {RANDOM}deadbeef01234567{RANDOM} y",
+    f"see /docs/example/{RANDOM[:40]} and sample/abc/{RANDOM[40:80]}/xxxx/{RANDOM[80:]}",
 ]
 
 
@@ -81,6 +92,17 @@ def test_redact(spark):
     assert got == ["a [secret] b [secret] c", "none"]
 
 
+def test_no_half_of_a_secret_is_left(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(t,) for t in TEXTS[-3:]], "text string")
+    found = secrets.find_secrets(rows).select(secrets.redact(F.col("text"), F.col("secret_spans")))
+    masked = [r[0] for r in found.collect()]
+    for text in masked:
+        assert not any(RANDOM[k : k + 12] in text for k in (0, 12, 24, 44, 56, 64))
+    assert masked[0].endswith("[secret] x") and masked[2].startswith("see /docs/example/[secret] and sample/abc/[secret]")
+
+
 def test_odd_rows(odd_docs, no_docs):
     assert secrets.find_secrets(odd_docs).count() == odd_docs.count()
     assert secrets.find_secrets(no_docs).count() == 0
