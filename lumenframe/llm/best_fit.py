@@ -7,8 +7,8 @@ size. Each range is swept in one task: gaps are stacked, and a piece takes the g
 successor, the smallest that holds it. Equal pieces fill a gap as often as they fit, as best-fit would do.
 Pieces that found no gap in their range and gaps that found no piece are ranked in it; the ranges are swept
 like the rows, by their counts, and the ranks say which piece goes to which gap. Gaps are updated, and the
-next round begins; a gap that holds no remaining piece is closed. When no gap can take a piece, as many
-windows open as the remaining tokens fill at least.
+next round begins; a gap that holds no remaining piece is closed, and as many windows open as the tokens beyond
+the space of the other gaps fill at least.
 
 A gap takes part in few rounds, as what is left of it is smaller than what it took, and a row is moved
 as a size and two numbers. Only the counts of the ranges pass through the driver.
@@ -17,7 +17,7 @@ as a size and two numbers. Only the counts of the ranges pass through the driver
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from functools import reduce
 
 import numpy as np
@@ -27,26 +27,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenframe.llm.common import crc_of_bytes, whole
+from lumenframe.llm.common import crc_of_bytes, shuffle_width, whole
 from lumenframe.llm.tokens import default_path, encoder, read_definition
-from lumenframe.operators.ordered import range_sorted
 from lumenframe.session import checkpoint
 
 WINDOW = 1024
 END_ID = 2
 GAP, PIECE, PLACED = 0, 1, 2
+#: Rows of sizes that a task of a round goes through at least.
+TASK_ROWS = 20_000
 _NONE = np.iinfo(np.int64).min
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-_ROWS = "size long, kind int, id long"
+#: Rows after a sweep; a range adds one row of what it left over (``pieces`` to ``smallest``, no kind).
 _SWEPT = T.StructType(
     [
         T.StructField("kind", T.IntegerType()),
-        T.StructField("id", T.LongType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("sequence_id", T.LongType()),
-        T.StructField("rank", T.LongType()),
+        *(T.StructField(c, T.LongType()) for c in ("id", "size", "sequence_id", "rank")),
         T.StructField("range", T.IntegerType()),
+        *(T.StructField(c, T.LongType()) for c in ("pieces", "largest", "gaps", "smallest")),
     ]
 )
 
@@ -135,22 +134,26 @@ def sweep(size: np.ndarray, kind: np.ndarray, key: np.ndarray) -> tuple[np.ndarr
 
 def _swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One range: numbers of its rows only are held."""
-    names = ("size", "kind", "id", "_range")
-    held = [[b.column(n).to_numpy() for n in names] for b in batches if b.num_rows]
+    held = [[b.column(n).to_numpy() for n in ("size", "kind", "id", "range")] for b in batches if b.num_rows]
     if not held:
         return
     size, kind, key, place = (np.concatenate(c) for c in zip(*held, strict=True))
     target, left, rank = sweep(size, kind, key)
-    columns = [
-        pa.array(kind, type=pa.int32()),
-        pa.array(key),
-        pa.array(left),
-        pa.array(target, mask=target == _NONE),
-        pa.array(rank, mask=rank < 0),
-        pa.array(place, type=pa.int32()),
-    ]
-    table = pa.Table.from_arrays(columns, names=_SWEPT.names)
-    yield from table.to_batches(max_chunksize=50_000)
+    missed, free = size[(rank >= 0) & (kind == PIECE)], size[(rank >= 0) & (kind == GAP)]
+    said = [len(missed), missed.max(initial=0), len(free), free.min(initial=1 << 40)]
+    columns = {
+        "kind": pa.array(kind, type=pa.int32()),
+        "id": pa.array(key),
+        "size": pa.array(left),
+        "sequence_id": pa.array(target, mask=target == _NONE),
+        "rank": pa.array(rank, mask=rank < 0),
+        "range": pa.array(place, type=pa.int32()),
+    }
+    kinds = {f.name: pa.int32() if f.dataType == T.IntegerType() else pa.int64() for f in _SWEPT.fields}
+    rows = {n: columns.get(n, pa.nulls(len(size), type=k)) for n, k in kinds.items()}
+    yield from pa.table(rows).to_batches(max_chunksize=50_000)
+    last = {"range": place[0]} | dict(zip(("pieces", "largest", "gaps", "smallest"), said, strict=True))
+    yield pa.RecordBatch.from_pydict({n: pa.array([last.get(n)], type=k) for n, k in kinds.items()})
 
 
 @dataclass(frozen=True)
@@ -190,50 +193,45 @@ def cross_matches(ranges: Sequence[tuple[int, int, int, int, int]]) -> list[Matc
     return out
 
 
-def _round(rows: DataFrame) -> DataFrame:
-    """Rows (size, kind, id) of gaps and pieces -> gaps as they are now, pieces left, and placed pieces."""
-    spark = rows.sparkSession
-    ordered = range_sorted(rows, [F.col("size").desc(), F.col("kind"), F.col("id")])
-    swept = ordered.select("size", "kind", "id", "_range").mapInArrow(_swept, _SWEPT)
+def _round(rows: DataFrame, width: int) -> DataFrame:
+    """Rows (size, kind, id) of gaps and pieces -> gaps as they are now, pieces left, and placed pieces.
+
+    The sweep is written before it is read again: bounds of ranges come from sampling. ``width`` tasks go
+    through the rows.
+    """
+    order = [F.col("size").desc(), F.col("kind"), F.col("id")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    swept = ordered.select("size", "kind", "id", F.spark_partition_id().alias("range")).mapInArrow(_swept, _SWEPT)
+    swept = checkpoint(swept.coalesce(width))
+    said = swept.where("kind is null").select("range", "pieces", "largest", "gaps", "smallest").collect()
+    matches = cross_matches([tuple(r) for r in said])
     piece, gap = F.col("kind") == PIECE, F.col("kind") == GAP
-    left = swept.where("rank is not null").groupBy("range").agg(
-        F.count_if(piece).alias("pieces"),
-        F.coalesce(F.max(F.when(piece, F.col("size"))), F.lit(0)).alias("largest"),
-        F.count_if(gap).alias("gaps"),
-        F.coalesce(F.min(F.when(gap, F.col("size"))), F.lit(0)).alias("smallest"),
-    )
-    matches = cross_matches([tuple(r) for r in left.collect()])
-    kept = swept.withColumn("kind", F.when(piece & F.col("sequence_id").isNotNull(), PLACED).otherwise(F.col("kind")))
-    if not matches:
-        return kept.select("size", "kind", "id", "sequence_id")
+    placed = F.when(piece & F.col("sequence_id").isNotNull(), PLACED).otherwise(F.col("kind"))
+    names = ("m_range", "first", "last", "gap_range", "gap", "times")
+    values = [astuple(m) for m in matches]
     # At most two rows per range; the ranges are as many as the shuffle partitions.
-    table = spark.createDataFrame(
-        [(m.range, m.first, m.last, m.gap_range, m.gap, m.times) for m in matches],
-        "m_range int, first long, last long, gap_range int, gap long, times long",
-    )
-    within = (F.col("range") == F.col("m_range")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
-    sent = swept.where(piece & F.col("rank").isNotNull()).join(F.broadcast(table), within)
-    sent = sent.select(
-        F.col("gap_range").alias("range"),
-        (F.col("gap") + F.floor((F.col("rank") - F.col("first")) / F.col("times"))).alias("rank"),
-        F.lit(PLACED).alias("kind"),
-        "id",
-        "size",
+    table = pa.table({n: pa.array([v[k] for v in values], type=pa.int64()) for k, n in enumerate(names)})
+    within = piece & (F.col("range") == F.col("m_range")) & F.col("rank").between(F.col("first"), F.col("last") - 1)
+    sent = swept.where("kind is not null").join(F.broadcast(rows.sparkSession.createDataFrame(table)), within, "left")
+    target = F.col("gap") + F.floor((F.col("rank") - F.col("first")) / F.col("times"))
+    sent = sent.withColumns(
+        {
+            "to_range": F.when(gap & F.col("rank").isNotNull(), F.col("range")).otherwise(F.col("gap_range")).cast("int"),
+            "to_rank": F.when(gap, F.col("rank")).otherwise(target),
+        }
     )
+    rest = sent.where("to_range is null").select("size", placed.alias("kind"), "id", "sequence_id")
     # A gap and the pieces sent to it meet in one group, at most a window's worth of rows.
-    free = swept.where(gap & F.col("rank").isNotNull()).select("range", "rank", "kind", "id", "size")
-    same = Window.partitionBy("range", "rank")
+    same = Window.partitionBy("to_range", "to_rank")
     holder = F.max(F.when(gap, F.col("id"))).over(same)
-    taken = F.coalesce(F.sum(F.when(F.col("kind") == PLACED, F.col("size"))).over(same), F.lit(0))
-    met = free.unionByName(sent).select(
+    taken = F.coalesce(F.sum(F.when(piece, F.col("size"))).over(same), F.lit(0))
+    met = sent.where("to_range is not null").select(
         F.when(gap, F.col("size") - taken).otherwise(F.col("size")).alias("size"),
-        "kind",
+        F.when(piece, PLACED).otherwise(F.col("kind")).alias("kind"),
         "id",
-        F.when(~gap, holder).alias("sequence_id"),
+        F.when(piece, holder).alias("sequence_id"),
     )
-    alone = swept.where(piece & F.col("rank").isNotNull()).join(F.broadcast(table), within, "left_anti")
-    rest = kept.where("rank is null").unionByName(alone)
-    return rest.select("size", "kind", "id", "sequence_id").unionByName(met)
+    return rest.unionByName(met).coalesce(width)
 
 
 def _numbered_gaps(like: DataFrame, first: int, n: int, window: int) -> DataFrame:
@@ -243,17 +241,29 @@ def _numbered_gaps(like: DataFrame, first: int, n: int, window: int) -> DataFram
     )
 
 
-def _state(rows: DataFrame) -> tuple[int, int, int, int, int]:
-    """Pieces, their tokens, the smallest piece, the tokens of all gaps and the largest gap."""
-    piece, gap = F.col("kind") == PIECE, F.col("kind") == GAP
-    found = rows.agg(
-        F.count_if(piece),
-        F.sum(F.when(piece, F.col("size"))),
-        F.min(F.when(piece, F.col("size"))),
-        F.sum(F.when(gap, F.col("size"))),
-        F.max(F.when(gap, F.col("size"))),
-    ).first()
-    return tuple(v or 0 for v in found)
+@dataclass(frozen=True)
+class State:
+    """Pieces and their tokens, the smallest piece, gaps and their tokens, the largest gap."""
+
+    pieces: int
+    tokens: int
+    smallest: int
+    gaps: int
+    space: int
+    largest: int
+
+
+def _state(rows: DataFrame, least: int = 1) -> State:
+    """Gaps below ``least`` do not count."""
+    piece = F.when(F.col("kind") == PIECE, F.col("size"))
+    gap = F.when((F.col("kind") == GAP) & (F.col("size") >= least), F.col("size"))
+    found = rows.agg(F.count(piece), F.sum(piece), F.min(piece), F.count(gap), F.sum(gap), F.max(gap)).first()
+    return State(*(v or 0 for v in found))
+
+
+def _tasks(rows: int, most: int) -> int:
+    """Tasks for so many rows of a few numbers, at most the width of a shuffle."""
+    return max(1, min(most, -(-rows // TASK_ROWS)))
 
 
 def placements(sizes: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -265,22 +275,22 @@ def placements(sizes: DataFrame, window: int = WINDOW) -> DataFrame:
     opened = sizes.where(big).select("id", "size", F.col("id").alias("sequence_id"), F.lit(-1).alias("round"))
     gaps = sizes.where(big).select((window - F.col("size")).alias("size"), F.lit(GAP).alias("kind"), "id")
     rows = sizes.where(~big).select("size", F.lit(PIECE).alias("kind"), "id").unionByName(gaps)
-    done, numbered = [opened], 0
-    pieces, tokens, smallest, space, largest = _state(rows)
+    done, numbered, most = [opened], 0, shuffle_width(sizes.sparkSession)
+    now = _state(rows)
     for turn in range(1 << 30):
-        if not pieces:
+        if not now.pieces:
             break
-        rows = rows.where((F.col("kind") == PIECE) | (F.col("size") >= smallest))
-        wanted = -(-max(tokens - space, 0) // window) if not turn else 0
-        if smallest > largest and not wanted:
-            wanted = -(-tokens // window)
+        rows = rows.where((F.col("kind") == PIECE) | (F.col("size") >= now.smallest))
+        # No gap below the smallest piece is of use: the tokens beyond the space of the others need windows.
+        wanted = -(-max(now.tokens - now.space, int(now.largest < now.smallest)) // window)
+        width = _tasks(now.pieces + now.gaps + wanted, most)
         if wanted:
             rows = rows.unionByName(_numbered_gaps(rows, numbered, wanted, window))
             numbered += wanted
-        after = checkpoint(_round(rows))
+        after = checkpoint(_round(rows.coalesce(width), width))
         done.append(after.where(F.col("kind") == PLACED).select("id", "size", "sequence_id", F.lit(turn).alias("round")))
         rows = after.where(F.col("kind") != PLACED).select("size", "kind", "id")
-        pieces, tokens, smallest, space, largest = _state(rows)
+        now = _state(rows, now.smallest)
     return reduce(DataFrame.unionByName, done)
 
 
