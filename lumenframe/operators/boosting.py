@@ -2,7 +2,7 @@
 
 Features are binned once, by quantiles, into one byte each, and rows are kept as column blocks. A level of a
 round is one job: tasks sum gradients per (tree, node, feature, bin) over their blocks, the sums meet by
-(tree, node, features) and only the best split of each comes back. The trees of all classes grow in the same
+(tree, node, features) and only the best split of each comes back (sums of a few MB meet on the driver). The trees of all classes grow in the same
 job (softmax gradients, not one against the rest), and so do fits with other settings, folds or training
 shares: a grid search or a learning curve takes as many jobs as its longest fit. Leaf values follow from the
 sums of the last level. Margins are written every few rounds; between, tasks add the newest trees.
@@ -34,6 +34,8 @@ BLOCK_ROWS = 32_768
 CHUNK = 32
 #: Rounds between two writings of the margins.
 WRITE_EVERY = 16
+#: Sums of a level that weigh less, over all tasks, meet on the driver at once.
+DIRECT_BYTES = 64 << 20
 
 _STATE = "n int, x binary, y binary, u binary, s binary, fold binary, f binary"
 _SUMS = "tree int, node int, chunk int, sums binary"
@@ -267,6 +269,10 @@ class Level:
                         key = (t, node, chunk)
                         sums[key] = sums.get(key, 0) + made[:, i]
 
+    def size(self) -> int:
+        """Bytes of the sums of one task, at most."""
+        return sum(len(nodes) * len(self.columns[t]) * BINS * 24 for t, nodes in self.active.items())
+
     def tasks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int, int], np.ndarray] = {}
         for _, block in _read(batches, self.recent):
@@ -457,6 +463,7 @@ def fit_boosted(
     if not n:
         return models
     state = checkpoint(rows.mapInArrow(_blocks(edges, np.tile(start, len(fits))), _STATE)).persist()
+    tasks = state.rdd.getNumPartitions()
     recent: list[dict[int, Tree]] = []
     for turn in range(max(f.settings.rounds for f in fits)):
         level = Level(loss, classes, fits, turn, 0, recent)
@@ -467,7 +474,7 @@ def fit_boosted(
                     level.columns[t] = _columns_of(fit.settings, len(edges), turn, t - k * classes)
         trees = dict(level.growing)
         while any(level.active.values()):
-            lost = _grow(state, level)
+            lost = _grow(state, level, tasks)
             if not level.depth:
                 for k, (total, count) in lost.items():
                     models[k].losses.append(total / max(count, 1))
@@ -489,12 +496,16 @@ def _columns_of(settings: Boosting, width: int, turn: int, tree: int) -> np.ndar
     return np.sort(rng.choice(width, max(1, round(settings.columns * width)), replace=False))
 
 
-def _grow(state: DataFrame, level: Level) -> dict[int, tuple[float, float]]:
+def _grow(state: DataFrame, level: Level, tasks: int) -> dict[int, tuple[float, float]]:
     """Splits the active nodes of all trees in place, sets the next ones; losses per fit (first level only)."""
-    sums = state.mapInArrow(level.tasks, _SUMS).repartition("tree", "node", "chunk")
-    found: dict[tuple[int, int], tuple] = {}
+    sums = state.mapInArrow(level.tasks, _SUMS)
+    if tasks * level.size() <= DIRECT_BYTES:
+        rows = [r for b in level.best(iter(sums.toArrow().to_batches())) for r in b.to_pylist()]
+    else:
+        rows = sums.repartition("tree", "node", "chunk").mapInArrow(level.best, _BEST).collect()
+    found: dict[tuple[int, int], dict] = {}
     lost = {}
-    for r in sums.mapInArrow(level.best, _BEST).collect():
+    for r in rows:
         key = (r["tree"], r["node"])
         if r["tree"] < 0:
             lost[-1 - r["tree"]] = tuple(r["low"])

@@ -59,15 +59,30 @@ def _closeness() -> Column:
     return F.round(F.abs("similarity"), 9)
 
 
+def _mirrored(pairs: DataFrame) -> DataFrame:
+    """Each pair (a, b, similarity) in both directions."""
+    ends = F.array(
+        F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    )
+    return pairs.select(F.explode(ends).alias("p"), "similarity").select("p.*", "similarity")
+
+
 def top_neighbours(
-    ratings: DataFrame, axis: str, k: int = 40, hot: int = 500, block_entries: int = 200_000
+    ratings: DataFrame,
+    axis: str,
+    k: int = 40,
+    hot: int = 500,
+    block_entries: int = 200_000,
+    block_rows: int = 1024,
 ) -> DataFrame:
     """The ``k`` nearest neighbours by |cosine| of centred ratings: ``a, b, similarity``.
 
     Exact. Values of the other axis with at most ``hot`` ratings meet through a
     self-join, which emits at most ``hot`` pairs per rating. Values with more
     ratings would emit all pairs of a huge group: those columns are multiplied
-    block against block inside a task, which keeps only the best ``k`` per row.
+    block against block inside a task, which keeps only the best ``k`` per row. A
+    task holds two blocks of bounded rows and entries, their product, and at most one sum of the
+    self-join for each cell of it; pairs of rows outside the blocks do not go there.
     """
     other = "item_id" if axis == "user_id" else "user_id"
     weights = checkpoint(
@@ -87,15 +102,9 @@ def top_neighbours(
     )
     if any_crowded:
         heavy = weights.join(crowded, "c", "left_semi")
-        candidates = _block_candidates(weights, heavy, pairs, k, block_entries)
+        candidates = _block_candidates(heavy, pairs, k, block_entries, block_rows)
     else:
-        mirrored = F.explode(
-            F.array(
-                F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
-                F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
-            )
-        )
-        candidates = pairs.select(mirrored.alias("p"), "similarity").select("p.*", "similarity")
+        candidates = _mirrored(pairs)
     nearest = Window.partitionBy("a").orderBy(F.desc(_closeness()), F.asc("b"))
     return (
         candidates.filter(_closeness() > 0)
@@ -105,18 +114,20 @@ def top_neighbours(
     )
 
 
-def _block_candidates(
-    weights: DataFrame, heavy: DataFrame, pairs: DataFrame, k: int, block_entries: int
-) -> DataFrame:
+def row_blocks(heavy: DataFrame, block_entries: int, block_rows: int) -> DataFrame:
+    """(a, block): consecutive rows with about ``block_entries`` entries, never more than ``block_rows`` rows."""
+    least = -(-block_entries // block_rows)  # what a row counts at least
+    per_row = heavy.groupBy("a").agg(F.greatest(F.count(F.lit(1)), F.lit(least)).alias("_n"))
+    placed = with_running(per_row, ["a"], {"_upto": "_n"})
+    return checkpoint(placed.select("a", F.floor((F.col("_upto") - 1) / (least * block_rows)).alias("block")))
+
+
+def _block_candidates(heavy: DataFrame, pairs: DataFrame, k: int, block_entries: int, block_rows: int) -> DataFrame:
     """Best ``k`` of every row within each pair of blocks, light and crowded columns added up.
 
-    Blocks hold about ``block_entries`` crowded entries (at most one row more).
+    Blocks hold about ``block_entries`` crowded entries (at most one row more) and ``block_rows`` rows.
     """
-    per_row = weights.select("a").distinct().join(
-        heavy.groupBy("a").agg(F.count(F.lit(1)).alias("_n")), "a", "left"
-    ).withColumn("_n", F.coalesce("_n", F.lit(0)) + 1)
-    blocks = with_running(per_row, ["a"], {"_upto": "_n"})
-    blocks = checkpoint(blocks.select("a", F.floor(F.col("_upto") / block_entries).alias("block")))
+    blocks = row_blocks(heavy, block_entries, block_rows)
     last = blocks.agg(F.max("block")).scalar()
     owned = heavy.join(blocks, "a")
     # Every block meets every block not before it: (low, high) with low <= high.
@@ -126,78 +137,60 @@ def _block_candidates(
         F.col("c").alias("column"), F.col("weight").alias("value"), F.col("block").alias("own"),
     )
     side = blocks.withColumnsRenamed({"a": "b", "block": "_bb"})
-    known = (
-        pairs.join(blocks, "a")
-        .join(side, "b")
-        .select(
-            F.least("block", "_bb").alias("low"),
-            F.greatest("block", "_bb").alias("high"),
-            F.col("a").alias("one"),
-            F.col("b").alias("two"),
-            F.col("similarity").alias("light"),
-        )
+    known = checkpoint(pairs.join(blocks, "a", "left").join(side, "b", "left"))
+    inside = F.col("block").isNotNull() & F.col("_bb").isNotNull()
+    outside = _mirrored(known.where(~inside).select("a", "b", "similarity"))
+    known = known.where(inside).select(
+        F.least("block", "_bb").alias("low"),
+        F.greatest("block", "_bb").alias("high"),
+        F.col("a").alias("one"),
+        F.col("b").alias("two"),
+        F.col("similarity").alias("light"),
     )
 
     def best(key, left, right):
         low, high = key
-        right = right[["one", "two", "light"]].set_axis(["a", "b", "similarity"], axis=1)
+        empty = pd.DataFrame({"a": [], "b": [], "similarity": []})
         rows_a = np.unique(left.loc[left["own"] == low, "row"].to_numpy())
         rows_b = np.unique(left.loc[left["own"] == high, "row"].to_numpy())
-        parts = [right]
-        if len(rows_a) and len(rows_b):
-            columns, place = np.unique(left["column"].to_numpy(), return_inverse=True)
-            sim = np.zeros((len(rows_a), len(rows_b)))
-            ids, value, own = left["row"].to_numpy(), left["value"].to_numpy(), left["own"].to_numpy()
-            step = 2048
-            for start in range(0, len(columns), step):
-                here = (place >= start) & (place < start + step)
-                width = min(step, len(columns) - start)
-                one = np.zeros((len(rows_a), width))
-                two = np.zeros((len(rows_b), width))
-                pick = here & (own == low)
-                one[np.searchsorted(rows_a, ids[pick]), place[pick] - start] = value[pick]
-                pick = here & (own == high)
-                two[np.searchsorted(rows_b, ids[pick]), place[pick] - start] = value[pick]
-                sim += one @ two.T
-            # Light sums between two rows that both have crowded entries join the matrix.
-            a, b = right["a"].to_numpy(), right["b"].to_numpy()
-            ia, ib = np.searchsorted(rows_a, a), np.searchsorted(rows_b, b)
-            ok_a = (ia < len(rows_a)) & (rows_a[np.minimum(ia, len(rows_a) - 1)] == a)
-            ok_b = (ib < len(rows_b)) & (rows_b[np.minimum(ib, len(rows_b) - 1)] == b)
-            swapped_a, swapped_b = np.searchsorted(rows_a, b), np.searchsorted(rows_b, a)
-            sw = (swapped_a < len(rows_a)) & (rows_a[np.minimum(swapped_a, len(rows_a) - 1)] == b)
-            sw &= (swapped_b < len(rows_b)) & (rows_b[np.minimum(swapped_b, len(rows_b) - 1)] == a)
-            straight = ok_a & ok_b
-            turned = sw & (~straight if low != high else np.ones(len(sw), bool))
-            light = right["similarity"].to_numpy()
-            np.add.at(sim, (ia[straight], ib[straight]), light[straight])
-            np.add.at(sim, (swapped_a[turned], swapped_b[turned]), light[turned])
-            parts = [right.loc[~(straight | turned), ["a", "b", "similarity"]]]
+        if not len(rows_a) or not len(rows_b):
+            return empty
+        columns, place = np.unique(left["column"].to_numpy(), return_inverse=True)
+        sim = np.zeros((len(rows_a), len(rows_b)))
+        ids, value, own = left["row"].to_numpy(), left["value"].to_numpy(), left["own"].to_numpy()
+        step = 2048
+        for start in range(0, len(columns), step):
+            here = (place >= start) & (place < start + step)
+            width = min(step, len(columns) - start)
+            one = np.zeros((len(rows_a), width))
+            two = np.zeros((len(rows_b), width))
+            pick = here & (own == low)
+            one[np.searchsorted(rows_a, ids[pick]), place[pick] - start] = value[pick]
+            pick = here & (own == high)
+            two[np.searchsorted(rows_b, ids[pick]), place[pick] - start] = value[pick]
+            sim += one @ two.T
+        # A light pair has its smaller id in the lower block, as blocks follow the ids.
+        at = np.searchsorted(rows_a, right["one"].to_numpy()), np.searchsorted(rows_b, right["two"].to_numpy())
+        light = right["light"].to_numpy()
+        np.add.at(sim, at, light)
+        if low == high:
+            np.add.at(sim, at[::-1], light)
+            np.fill_diagonal(sim, 0.0)
+        parts = []
+        for matrix, mine, theirs in ((sim, rows_a, rows_b), (sim.T, rows_b, rows_a)):
+            rank = np.round(np.abs(matrix), 9)
+            keep = min(k, matrix.shape[1])
+            # theirs is ascending, so a stable sort breaks ties by the lower id
+            order = np.argsort(-rank, axis=1, kind="stable")[:, :keep]
+            at = np.repeat(np.arange(len(mine)), keep)
+            found = {"a": mine[at], "b": theirs[order.ravel()], "similarity": matrix[at, order.ravel()]}
+            parts.append(pd.DataFrame(found))
             if low == high:
-                np.fill_diagonal(sim, 0.0)
-            for matrix, mine, theirs in ((sim, rows_a, rows_b), (sim.T, rows_b, rows_a)):
-                rank = np.round(np.abs(matrix), 9)
-                keep = min(k, matrix.shape[1])
-                # theirs is ascending, so a stable sort breaks ties by the lower id
-                order = np.argsort(-rank, axis=1, kind="stable")[:, :keep]
-                at = np.repeat(np.arange(len(mine)), keep)
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            "a": mine[at].astype("int64"),
-                            "b": theirs[order.ravel()].astype("int64"),
-                            "similarity": matrix[at, order.ravel()],
-                        }
-                    )
-                )
-                if low == high:
-                    break
-        rest = parts[0]
-        parts[0] = pd.concat([rest, rest.rename(columns={"a": "b", "b": "a"})[["a", "b", "similarity"]]])
-        return pd.concat(parts)[["a", "b", "similarity"]]
+                break
+        return pd.concat(parts)
 
     grouped = entries.groupBy("low", "high").cogroup(known.groupBy("low", "high"))
-    return grouped.applyInPandas(best, "a long, b long, similarity double")
+    return grouped.applyInPandas(best, "a long, b long, similarity double").unionByName(outside)
 
 
 def neighbour_predict(

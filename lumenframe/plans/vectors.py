@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
 from pyspark.sql import functions as F
 
 from lumenframe.operators import anomaly, cluster, features, sampling, stats
@@ -174,6 +175,28 @@ def rfm_scaled(spark, sf):
     return features.standardize(rfm_table(spark, sf), names), names
 
 
+SCALED = f"""{RFM}, z AS (SELECT customer_id,
+  (recency - avg(recency) OVER ()) / stddev_pop(recency) OVER () AS a,
+  (frequency - avg(frequency) OVER ()) / stddev_pop(frequency) OVER () AS b,
+  (monetary - avg(monetary) OVER ()) / stddev_pop(monetary) OVER () AS c FROM rfm)"""
+
+
+@query(
+    "k1_one_step",
+    f"WITH {SCALED}, d AS (SELECT *, ["
+    + ", ".join(f"(a - ({x})) ** 2 + (b - ({y})) ** 2 + (c - ({z})) ** 2" for x, y, z in CENTERS)
+    + """] AS d FROM z) SELECT CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS cluster, count(*) AS n,
+      round(avg(a), 6) + 0 AS x, round(avg(b), 6) + 0 AS y, round(avg(c), 6) + 0 AS z FROM d GROUP BY ALL""",
+)
+def k1_one_step(spark, sf):
+    """The step that all fits take in one pass: means and sizes of the rows nearest to given centres."""
+    df, names = rfm_scaled(spark, sf)
+    sums = cluster.step(ml.assembled(df, names), np.array(CENTERS))
+    rows = [(k, int(r[-2]), *(float(v) for v in r[:3] / r[-2])) for k, r in enumerate(sums) if r[-2]]
+    table = spark.createDataFrame(rows, "cluster int, n long, x double, y double, z double")
+    return rounded(table, 6, "x", "y", "z")
+
+
 @query("k1_kmeans")
 def k1_kmeans(spark, sf):
     df, names = rfm_scaled(spark, sf)

@@ -139,6 +139,31 @@ def test_kmeans_cost_falls_with_k(spark):
     assert curve["inertia"].iloc[2] < 20
 
 
+def test_kmeans_steps_equal_plain_ones(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(c, 1.0, (60, 2)) for c in ((0, 0), (4, 4), (0, 5), (6, -1))])
+    df = spark.createDataFrame(pd.DataFrame({"id": range(240), "features": list(x)})).repartition(3)
+    fits = cluster.fit_starts(df, [1, 4, 3], restarts=4)
+    for k, fit in zip((1, 4, 3), fits):
+        starts = []
+        hashed = df.select("features").orderBy(F.xxhash64("features"), "features").toPandas()
+        rows = np.stack(hashed["features"])
+        for b in range(4 if k > 1 else 1):
+            centers = cluster.first_centers(rows, k, np.random.default_rng([42, k, b]))
+            for _ in range(50):
+                owner = ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+                moved = np.array([x[owner == j].mean(0) if (owner == j).any() else centers[j] for j in range(k)])
+                done = np.abs(moved - centers).max() < 1e-9
+                centers = moved
+                if done:
+                    break
+            starts.append(((x[:, None] - centers[None]) ** 2).sum(2).min(1).sum())
+        assert fit.cost == pytest.approx(min(starts), rel=1e-4)
+    got = fits[1].transform(df).orderBy("id").toPandas()["cluster"].to_numpy()
+    assert (got == ((x[:, None] - fits[1].centers[None]) ** 2).sum(2).argmin(1)).all()
+    assert cluster.fit_kmeans(df.limit(0)).centers.size == 0
+
+
 # --- anomalies --------------------------------------------------------------------------
 
 

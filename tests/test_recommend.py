@@ -54,11 +54,11 @@ def dense_knn(train, test, by_user, k):
 
 
 @pytest.mark.parametrize("axis", ["user_id", "item_id"])
-@pytest.mark.parametrize("hot,entries", [(500, 200_000), (3, 60), (1, 10)])
-def test_neighbours_match_dense_computation(spark, halves, axis, hot, entries):
-    """Also with nearly every column taken as crowded and cut into many blocks."""
+@pytest.mark.parametrize("hot,entries,rows", [(500, 200_000, 1024), (3, 60, 1024), (1, 10, 4), (12, 10_000, 3), (16, 1, 1)])
+def test_neighbours_match_dense_computation(spark, halves, axis, hot, entries, rows):
+    """Also with nearly every column taken as crowded, cut into many blocks, and blocks of a single row."""
     train, test = halves
-    got = rec.neighbour_predict(train, test, axis, k=5, hot=hot, block_entries=entries).toPandas()
+    got = rec.neighbour_predict(train, test, axis, k=5, hot=hot, block_entries=entries, block_rows=rows).toPandas()
     got = got.sort_values(["user_id", "item_id"])
     want = test.toPandas().sort_values(["user_id", "item_id"])
     dense = dense_knn(train.toPandas(), want, axis == "user_id", 5)
@@ -66,6 +66,16 @@ def test_neighbours_match_dense_computation(spark, halves, axis, hot, entries):
     assert np.allclose(got["predicted"], dense, atol=1e-9)
 
 
+def test_blocks_are_bounded_by_rows_and_entries(spark):
+    sizes = [1] * 50 + [40, 3, 3] + [1] * 20
+    cells = spark.createDataFrame([(a, c) for a, n in enumerate(sizes) for c in range(n)], "a long, c long")
+    got = rec.row_blocks(cells, 30, 10).toPandas()
+    assert len(got) == len(sizes) and got["block"].is_monotonic_increasing
+    for _, part in got.groupby("block"):
+        entries = [sizes[a] for a in part["a"]]
+        assert len(part) <= 10 and sum(entries) - max(entries) <= 30
+
+
 def test_bias_predictions_in_range_and_cold_rows(spark, halves):
     train, test = halves
     cold = spark.createDataFrame([(999, 999, 3.0)], "user_id long, item_id long, rating double")
