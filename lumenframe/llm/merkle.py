@@ -203,6 +203,7 @@ def manifest(
         digest(joined_fields(fields)).alias("node"),
         (F.lit(None).cast("string") if changed is None else changed).alias("changed"),
     )
+    leaves = checkpoint(leaves)  # sampling the ranges reads them once more
     placed = with_position(leaves, ["doc_id", "node", "changed"], by=["grp"], name="at", total="total")
     placed = checkpoint(placed.select("doc_id", "grp", "at", "total", "node", "changed"))
     rounds, subroots = climbed(placed, levels)
