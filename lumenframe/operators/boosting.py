@@ -462,7 +462,9 @@ def fit_boosted(
     models = [BoostedModel(loss, start, edges, [], [], features) for _ in fits]
     if not n:
         return models
-    state = checkpoint(rows.mapInArrow(_blocks(edges, np.tile(start, len(fits))), _STATE)).persist()
+    # A task for at least a block of rows: its sums weigh as much for few rows as for many.
+    dealt = rows.coalesce(-(-n // BLOCK_ROWS))
+    state = checkpoint(dealt.mapInArrow(_blocks(edges, np.tile(start, len(fits))), _STATE)).persist()
     tasks = state.rdd.getNumPartitions()
     recent: list[dict[int, Tree]] = []
     for turn in range(max(f.settings.rounds for f in fits)):

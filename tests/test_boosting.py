@@ -71,6 +71,7 @@ def plain_margins(x, y, loss, rounds, depth, rate, classes=1, min_rows=1):
 @pytest.mark.parametrize(("label", "loss", "classes"), [("label", "squared", 1), ("binary", "logistic", 1), ("three", "softmax", 3)])
 def test_trees_equal_brute_force(rows, data, label, loss, classes, direct, monkeypatch):
     monkeypatch.setattr(B, "DIRECT_BYTES", direct)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 100)  # several tasks
     settings = B.Boosting(rounds=3, depth=3, rate=0.3, min_rows=4)
     model = B.BoostedTrees(settings, loss, label).fit(rows)
     pdf = rows.toPandas().sort_values("id")
