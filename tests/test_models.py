@@ -244,6 +244,31 @@ def test_buckets_find_the_neighbours(crowd):
     assert (a[["query", "point"]].to_numpy() == b[["query", "point"]].to_numpy()).all()
 
 
+def test_groups_of_buckets_give_the_same_neighbours(crowd, monkeypatch):
+    plan = anomaly.Candidates(tables=3, bucket_rows=64, probes=6)
+    said = []
+    for bits, size in ((8, 131_072), (2, 131_072), (0, 300)):  # one group, several, one for each bucket in blocks
+        monkeypatch.setattr(anomaly, "GROUP_BITS", bits)
+        monkeypatch.setattr(anomaly, "GROUP_ROWS", size)
+        found = anomaly.approximate_neighbours(crowd.filter("id % 40 = 0"), crowd, "id", "x", 10, plan, block_rows=50)
+        said.append(found.orderBy("query", "distance", "point").toPandas())
+    for other in said[1:]:
+        pd.testing.assert_frame_equal(said[0], other)
+
+
+def test_exact_neighbours_of_float_vectors_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(anomaly, "TASK_ROWS", 70)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 5)).astype(np.float32)
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, x array<float>")
+    assert anomaly._vectors(rows, "id", "x").schema["x"].dataType.simpleString() == "array<float>"
+    got = anomaly.nearest_neighbours(rows, rows, "id", "x", 4, block_rows=16).orderBy("query", "distance").toPandas()
+    d = np.sqrt(((x[:, None].astype(float) - x[None]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    assert (got["point"].to_numpy().reshape(200, 4) == np.argsort(d, axis=1)[:, :4]).all()
+    assert np.allclose(got["distance"].to_numpy().reshape(200, 4), np.sort(d, axis=1)[:, :4])
+
+
 def test_probes_are_the_nearest_buckets():
     rng = np.random.default_rng(0)
     margins = rng.normal(size=(20, 5))
