@@ -66,6 +66,22 @@ def test_neighbours_match_dense_computation(spark, halves, axis, hot, entries, r
     assert np.allclose(got["predicted"], dense, atol=1e-9)
 
 
+@pytest.mark.parametrize("most", [8_000_000, 300, 5])
+def test_light_neighbours_in_blocks_match_the_join(spark, halves, most):
+    """In blocks of many rows, of a few rows, and with rows too large for a block."""
+    weights = rec.unit_weights(halves[0], "user_id").where("weight <> 0")
+    weights = weights.select(F.col("user_id").alias("a"), F.col("item_id").alias("c"), "weight")
+    got = rec._light_neighbours(weights, 4, most).toPandas().sort_values("a")
+    dense = weights.toPandas().pivot(index="a", columns="c", values="weight").fillna(0.0)
+    sim = dense.to_numpy() @ dense.to_numpy().T
+    np.fill_diagonal(sim, 0.0)
+    assert list(got["a"]) == list(dense.index)
+    for row, b, similarity in zip(sim, got["b"], got["similarity"]):
+        rank = np.abs(row).round(9)
+        order = [j for j in np.argsort(-rank, kind="stable")[:4] if rank[j] > 0]
+        assert list(b) == list(dense.index[order]) and np.allclose(similarity, row[order])
+
+
 def test_blocks_are_bounded_by_rows_and_entries(spark):
     sizes = [1] * 50 + [40, 3, 3] + [1] * 20
     cells = spark.createDataFrame([(a, c) for a, n in enumerate(sizes) for c in range(n)], "a long, c long")
