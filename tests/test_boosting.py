@@ -178,3 +178,31 @@ def test_sums_give_the_fits_of_spark(spark):
     want = ml.learning_curve(ml.linear(), rows, "id").toPandas().sort_values(["share", "kind"])
     curve = gram.learning_curve(rows, gram.linear()).sort_values(["share", "kind"])
     assert np.allclose(curve[["mean", "std"]], want[["mean", "std"]], atol=1e-8)
+
+
+@pytest.mark.parametrize("depth", [1, 3, 5, 9])
+def test_paths_through_trees_match_steps(depth):
+    """Trees with early leaves, rows column after column or not; a step at a time is the definition."""
+    rng = np.random.default_rng(depth)
+    tree = B.Tree.empty(depth)
+    inner = 2**depth - 1
+    tree.feature[:inner] = np.where(rng.random(inner) < 0.8, rng.integers(0, 4, inner), -1)
+    tree.bin[:inner], tree.value[:] = rng.integers(0, 256, inner), rng.normal(size=len(tree.value))
+    x = rng.integers(0, 256, (500, 4)).astype(np.uint8)
+    for levels in range(depth + 1):
+        want = np.zeros(len(x), int)
+        for row in range(len(x)):
+            for _ in range(levels):
+                f = tree.feature[want[row]]
+                if f >= 0:
+                    want[row] = 2 * want[row] + 1 + (x[row, f] > tree.bin[want[row]])
+        for same in (x, np.asfortranarray(x)):
+            assert (tree.nodes(same, levels) == want).all()
+    assert (tree.values(x) == tree.value[want]).all()
+    if depth <= 8:
+        assert (tree.ends(depth)[tree.paths(x, depth)] == want).all()
+
+
+def test_levels_send_the_driver_best_splits_only():
+    """Hundreds of levels of wide sums stay below a gigabyte in all."""
+    assert 1000 * B.DIRECT_BYTES < 1_000_000_000
