@@ -82,6 +82,16 @@ def test_light_neighbours_in_blocks_match_the_join(spark, halves, most):
         assert list(b) == list(dense.index[order]) and np.allclose(similarity, row[order])
 
 
+@pytest.mark.parametrize("hot", [500, 2])
+def test_raters_without_a_deviation_add_nothing(spark, hot):
+    near = spark.createDataFrame([(1, [2, 3, 4], [0.5, -0.25, 1.0])], "a long, b array<long>, similarity array<double>")
+    dev = [(2, 7, 2.0), (3, 7, None), (4, 7, 1.0), (5, 7, 9.0), (None, 7, 3.0), (3, 8, 4.0)]
+    dev = spark.createDataFrame(dev, "user_id long, item_id long, dev double")
+    wanted = spark.createDataFrame([(1, 7), (1, 8), (1, 9), (6, 7)], "user_id long, item_id long")
+    got = rec._neighbour_sums(wanted, near, dev, "user_id", "item_id", hot).collect()
+    assert {(r["user_id"], r["item_id"]): r["_sum"] for r in got} == {(1, 7): 2.0, (1, 8): -1.0}
+
+
 def test_blocks_are_bounded_by_rows_and_entries(spark):
     sizes = [1] * 50 + [40, 3, 3] + [1] * 20
     cells = spark.createDataFrame([(a, c) for a, n in enumerate(sizes) for c in range(n)], "a long, c long")
