@@ -121,6 +121,13 @@ def test_factors_beat_the_bias_baseline(spark, halves):
     assert error[0] < error[1]
 
 
+def test_factorization_removes_old_shuffle_files(spark, halves, monkeypatch):
+    made, als = [], rec.ALS
+    monkeypatch.setattr(rec, "ALS", lambda **settings: made.append(als(**settings)) or made[-1])
+    rec.factor_fit(halves[0], rank=2, iterations=4)
+    assert [m.getCheckpointInterval() for m in made] == [2]
+
+
 def test_training_curve_falls(spark, halves):
     curve = rec.training_curve(halves[0], (1, 8), rank=4).toPandas().sort_values("iterations")
     assert curve["rmse"].iloc[1] <= curve["rmse"].iloc[0] + 1e-6
