@@ -133,6 +133,19 @@ def test_training_curve_falls(spark, halves):
     assert curve["rmse"].iloc[1] <= curve["rmse"].iloc[0] + 1e-6
 
 
+def test_training_curve_fits_share_their_rows(spark, halves, monkeypatch):
+    """The curve is that of separate fits, but biases are taken once."""
+    train, want = halves[0], []
+    for n in (1, 3):
+        fitted = rec.factor_predict(rec.factor_fit(train, rank=3, iterations=n), train, train)
+        want.append(ev.regression_metrics(fitted, "rating", "predicted").first()["rmse"])
+    calls, real = [], rec.bias_predict
+    monkeypatch.setattr(rec, "bias_predict", lambda *a, **kw: calls.append(1) or real(*a, **kw))
+    got = rec.training_curve(train, (1, 3), rank=3).orderBy("iterations").toPandas()
+    assert len(calls) == 1 and list(got["iterations"]) == [1, 3]
+    assert np.allclose(got["rmse"], want, rtol=1e-9)
+
+
 def test_top_items_never_rated_and_all_when_few(spark, pattern):
     df = spark.createDataFrame(pattern)
     heavy = rec.most_active(df)
