@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -587,58 +588,167 @@ def _best_of_blocks(chosen: DataFrame, items: DataFrame, train: DataFrame, n: in
     return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
-def blocked_scores(users: DataFrame, items: DataFrame, seen: DataFrame, n: int, block_rows: int = 4096) -> DataFrame:
-    """Best ``n`` unseen items of each user within each item block, by one matrix product per block pair.
+#: Users of a group, at least and at most; groups are otherwise two for each core.
+GROUP_USERS = (512, 262_144)
+#: Items scored at a time, and users.
+ITEMS_AT_ONCE, USERS_AT_ONCE = 4096, 256
+_NO_ID = np.iinfo(np.int64).min  # stands for a null item id
+_STREAM = ["group", "kind", "user_id", "item_id", "value", "features"]
+_BEST_ITEMS = pa.schema([("user_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())])
 
-    Every block of users meets every block of items, as in Spark's own recommendation step: the work is
-    users x items, but what is emitted is ``n`` rows for a user and block, and a task holds one block of each.
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The rows of a column of equally long lists, in doubles."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
+class _Shortlists:
+    """The best ``n`` unseen items of each user of a group; items come in order of falling ids.
+
+    So a later item needs a higher score than the last of the list, and a user with ``n`` items at the upper bound
+    is done. Items are taken in steps that grow with those seen, so few of them ever enter a list.
+    """
+
+    def __init__(self, n: int):
+        self.n, self.told, self.users, self.items, self.pairs = n, [], None, 0, []
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        kind = rows.column("kind").to_numpy()
+        first = int(np.searchsorted(kind > 0, True))  # users come before all else
+        if first:
+            self.told.append(rows.slice(0, first))
+        rest, kind = rows.slice(first), kind[first:]
+        if not len(kind) or not self.told:
+            return
+        if self.users is None:
+            self._begin()
+        if not self.active.any():
+            self.pairs = []
+            return
+        ids = pc.fill_null(rest.column("item_id"), _NO_ID).to_numpy(zero_copy_only=False)
+        pair = np.flatnonzero(kind == 1)
+        if len(pair):
+            user = rest.column("user_id").take(pa.array(pair)).to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(self.users, user), len(self.users) - 1)
+            known = self.users[at] == user
+            self.pairs.append((at[known], ids[pair[known]]))
+        item = np.flatnonzero(kind == 2)
+        if not len(item):
+            return
+        catalog = rest.take(pa.array(item))
+        ids, bias = ids[item], catalog.column("value").cast(pa.float64()).to_numpy(zero_copy_only=False)
+        factors, begin = _matrix(catalog.column("features")), 0
+        while begin < len(ids):
+            end = begin + min(ITEMS_AT_ONCE, max(64, self.items))
+            self._step(ids[begin:end], bias[begin:end], factors[begin:end])
+            self.items, begin = self.items + len(ids[begin:end]), end
+        self.pairs = [(at[i < ids[-1]], i[i < ids[-1]]) for at, i in self.pairs]  # what waits for its item
+
+    def _begin(self) -> None:
+        told = pa.Table.from_batches(self.told).sort_by("user_id").combine_chunks()
+        self.users = told.column("user_id").to_numpy()
+        self.base = told.column("value").to_numpy()
+        self.factors = _matrix(told.column("features").combine_chunks())
+        self.score = np.full((len(self.users), self.n), -np.inf)
+        self.best = np.full((len(self.users), self.n), _NO_ID)
+        self.active = np.ones(len(self.users), dtype=bool)
+
+    def _step(self, ids: np.ndarray, bias: np.ndarray, factors: np.ndarray) -> None:
+        at, item = (np.concatenate(c) for c in zip(*self.pairs, strict=True)) if self.pairs else (np.zeros(0, int),) * 2
+        place = np.maximum(len(ids) - 1 - np.searchsorted(ids[::-1], item), 0)
+        here = (ids[place] == item) & (item != _NO_ID)
+        order = np.argsort(at[here], kind="stable")
+        at, place = at[here][order], place[here][order]
+        active = np.flatnonzero(self.active)
+        for k in range(0, len(active), USERS_AT_ONCE):
+            rows = active[k : k + USERS_AT_ONCE]
+            score = self.factors[rows] @ factors.T
+            score += self.base[rows, None]
+            score += bias[None, :]
+            np.clip(score, LOW, HIGH, out=score)
+            low, high = np.searchsorted(at, [rows[0], rows[-1] + 1])
+            r = np.searchsorted(rows, at[low:high])
+            among = rows[r] == at[low:high]
+            score[r[among], place[low:high][among]] = -np.inf
+            r, c = np.nonzero(score > self.score[rows, -1:])
+            if len(r):
+                self._enter(rows, r, score[r, c], ids[c])
+        self.active &= ~(self.score[:, -1] >= HIGH)
+
+    def _enter(self, rows: np.ndarray, r: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        """New items, by user and falling id; of equal scores the ones before stay ahead."""
+        order = np.lexsort((np.arange(len(r)), -score, r))
+        r, score, ids = r[order], score[order], ids[order]
+        begins = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+        sizes = np.diff(np.append(begins, len(r)))
+        rank = np.arange(len(r)) - np.repeat(begins, sizes)
+        users, own, kept = rows[r[begins]], np.repeat(np.arange(len(begins)), sizes), rank < self.n
+        scores = np.full((len(users), self.n), -np.inf)
+        names = np.full((len(users), self.n), _NO_ID)
+        scores[own[kept], rank[kept]], names[own[kept], rank[kept]] = score[kept], ids[kept]
+        scores = np.concatenate([self.score[users], scores], axis=1)
+        names = np.concatenate([self.best[users], names], axis=1)
+        first = np.argsort(-scores, axis=1, kind="stable")[:, : self.n]
+        self.score[users] = np.take_along_axis(scores, first, axis=1)
+        self.best[users] = np.take_along_axis(names, first, axis=1)
+
+    def result(self) -> pa.RecordBatch:
+        if self.users is None:
+            return pa.RecordBatch.from_pylist([], schema=_BEST_ITEMS)
+        user, place = np.nonzero(self.score > -np.inf)
+        item = self.best[user, place]
+        columns = [pa.array(self.users[user]), pa.array(item, mask=item == _NO_ID), pa.array(self.score[user, place])]
+        return pa.RecordBatch.from_arrays(columns, schema=_BEST_ITEMS)
+
+
+def _shortlisted(n: int):
+    """Rows of ``_STREAM`` in order of groups -> the best items of the users of each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, lists = None, None
+        for batch in batches:
+            groups = batch.column("group").to_numpy()
+            cuts = [0, *(np.flatnonzero(groups[1:] != groups[:-1]) + 1).tolist(), len(groups)]
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                if begin == end:
+                    continue
+                if lists is None or groups[begin] != group:
+                    if lists is not None:
+                        yield lists.result()
+                    group, lists = groups[begin], _Shortlists(n)
+                lists.add(batch.slice(begin, end - begin))
+        if lists is not None:
+            yield lists.result()
+
+    return run
+
+
+def blocked_scores(users: DataFrame, items: DataFrame, seen: DataFrame, n: int) -> DataFrame:
+    """The best ``n`` unseen items of each user: scores by matrix products, of equal ones the higher id first.
+
+    Users are dealt out in groups, and every group passes over all items in order of falling ids: the work is
+    users x items, but for users whose ``n`` best are at the upper bound early. A task holds its users with
+    their lists and one batch of items; items are sent once for each group, of which there are two a core (more for
+    more than ``GROUP_USERS`` users in each), and ``n`` rows for a user come back.
     """
     users, items = checkpoint(users), checkpoint(items)
-    sizes = [d.count() for d in (users, items)]
-    n_user, n_item = (max(1, -(-s // block_rows)) for s in sizes)
-    user_block = F.pmod(F.xxhash64("user_id"), F.lit(n_user))
-    item_block = F.pmod(F.xxhash64("item_id"), F.lit(n_item))
-    left = users.select(user_block.alias("ub"), F.explode(F.sequence(F.lit(0), F.lit(n_item - 1))).alias("ib"), "*")
-    right = items.select(item_block.alias("ib"), F.explode(F.sequence(F.lit(0), F.lit(n_user - 1))).alias("ub"), "*")
-    known = seen.select(
-        user_block.alias("ub"), item_block.alias("ib"), F.struct("user_id", "item_id").alias("pair")
+    n_users, cores = users.count(), users.sparkSession.sparkContext.defaultParallelism
+    least, most = GROUP_USERS
+    groups = max(1, -(-n_users // most), min(2 * cores, -(-n_users // least)))
+    own = F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int").alias("group")
+    nothing = {"user_id": "long", "item_id": "long", "value": "double", "features": "array<float>"}
+    empty = {c: F.lit(None).cast(t).alias(c) for c, t in nothing.items()}
+    features = F.col("features").cast("array<float>").alias("features")
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
+    stream = users.where("user_id is not null").select(
+        own, F.lit(0).alias("kind"), "user_id", empty["item_id"], F.col("base").alias("value"), features
     )
-    left = left.withColumn("ib", F.col("ib").cast("long"))
-    right = right.withColumn("ub", F.col("ub").cast("long"))
-    tagged = right.select("ub", "ib", "item_id", "item_bias", "features", F.lit(None).cast("long").alias("user_id"))
-    tagged = tagged.unionByName(
-        known.select(
-            "ub",
-            "ib",
-            F.col("pair.item_id").alias("item_id"),
-            F.lit(None).cast("double").alias("item_bias"),
-            F.lit(None).cast("array<float>").alias("features"),
-            F.col("pair.user_id").alias("user_id"),
-        )
+    pairs = seen.where("user_id is not null and item_id is not null")
+    stream = stream.unionByName(pairs.select(own, F.lit(1).alias("kind"), "user_id", "item_id", empty["value"], empty["features"]))
+    stream = stream.unionByName(
+        items.select(every, F.lit(2).alias("kind"), empty["user_id"], "item_id", F.col("item_bias").alias("value"), features)
     )
-
-    def best(key, people, other):
-        empty = pd.DataFrame({"user_id": [], "item_id": [], "score": []})
-        catalog = other[other["user_id"].isna()].sort_values("item_id", ascending=False)
-        if people.empty or catalog.empty:
-            return empty
-        people = people.sort_values("user_id")
-        ids, users_here = catalog["item_id"].to_numpy(), people["user_id"].to_numpy()
-        score = np.stack(people["features"].to_numpy()).astype(float) @ np.stack(catalog["features"].to_numpy()).T
-        score = score + people["base"].to_numpy()[:, None] + catalog["item_bias"].to_numpy()[None, :]
-        score = np.clip(score, LOW, HIGH)
-        old = other[other["user_id"].notna()]
-        old = old[old["user_id"].isin(users_here) & old["item_id"].isin(ids)]
-        down = ids[::-1]
-        at_item = len(ids) - 1 - np.searchsorted(down, old["item_id"].to_numpy())
-        score[np.searchsorted(users_here, old["user_id"].to_numpy().astype("int64")), at_item] = -np.inf
-        keep = min(n, len(ids))
-        order = np.argsort(-score, axis=1, kind="stable")[:, :keep]
-        at = np.repeat(np.arange(len(users_here)), keep)
-        out = pd.DataFrame(
-            {"user_id": users_here[at], "item_id": ids[order.ravel()], "score": score[at, order.ravel()]}
-        )
-        return out[np.isfinite(out["score"])]
-
-    grouped = left.groupBy("ub", "ib").cogroup(tagged.groupBy("ub", "ib"))
-    return grouped.applyInPandas(best, "user_id long, item_id long, score double")
+    # An item follows the pairs that name it; an item without an id comes last.
+    order = ["group", F.col("kind") > 0, F.desc_nulls_last("item_id"), "kind"]
+    dealt = stream.repartitionByRange(groups, "group").sortWithinPartitions(*order)
+    return dealt.select(*_STREAM).mapInArrow(_shortlisted(n), "user_id long, item_id long, score double")

@@ -218,3 +218,29 @@ def test_bias_recommendations_need_few_items(spark, pattern, block, kept, per_gr
         scores = [(np.clip(mean + user.get(u, 0.0) + b, 1, 5), i) for i, b in item.items() if (u, i) not in seen]
         want += [(u, i, k + 1) for k, (_, i) in enumerate(sorted(((round(s, 9), i) for s, i in scores), reverse=True)[:4])]
     assert sorted(zip(got["user_id"], got["item_id"], got["rank"])) == sorted(want)
+
+
+def test_shortlists_equal_brute_force(spark):
+    """Items in several batches and steps, users in several groups, many scores at a bound; ``n`` rows for a user."""
+    rng = np.random.default_rng(8)
+    users, items, n = 1300, 11_000, 4
+    u, v = rng.normal(0, 0.6, (users, 3)).astype("float32"), rng.normal(0, 0.6, (items, 3)).astype("float32")
+    base, bias = rng.choice([0.5, 2.5, 4.0], users), rng.normal(0, 0.5, items).round(2)
+    base[7] = -20.0  # all scores at the lower bound
+    at, it = rng.integers(0, users, 30_000), rng.integers(0, items, 30_000)
+    at[:3000], it[:3000] = 5, np.arange(items - 3000, items)
+    people = pd.DataFrame({"user_id": np.arange(users) * 7, "base": base, "features": u.tolist()})
+    catalog = pd.DataFrame({"item_id": np.arange(items) - 50, "item_bias": bias, "features": v.tolist()})
+    people, catalog = (spark.createDataFrame(d).withColumn("features", F.col("features").cast("array<float>")) for d in (people, catalog))
+    nameless = spark.createDataFrame([(None, 9.0, [0.0, 0.0, 0.0])], catalog.schema)
+    seen = spark.createDataFrame(pd.DataFrame({"user_id": at * 7, "item_id": it - 50}))
+    got = rec.blocked_scores(people, catalog.unionByName(nameless), seen, n).toPandas()
+    assert len(got) == users * n
+    score = np.clip(u.astype(float) @ v.astype(float).T + base[:, None] + bias[None, :], 1, 5)
+    score[at, it] = -np.inf
+    score = np.concatenate([np.clip(base + 9, 1, 5)[:, None], score], axis=1)  # the lowest id
+    want = items - np.argsort(-score[:, ::-1], axis=1, kind="stable")[:, :n] - 51
+    got["item_id"] = got["item_id"].fillna(-51).astype(int)
+    got = got.sort_values(["user_id", "score", "item_id"], ascending=[True, False, False])
+    assert (got["item_id"].to_numpy().reshape(users, n) == want).all()
+    assert np.allclose(got["score"].to_numpy().reshape(users, n), -np.sort(-score, axis=1)[:, :n])
