@@ -209,3 +209,17 @@ def test_stream_scores_equal_batch_scores_and_the_model_survives_saving(spark, c
     want = live.score_texts(model, corpus).orderBy("doc_id").toPandas()
     pd.testing.assert_frame_equal(got, want)
     assert (got["prediction"] == corpus.orderBy("doc_id").toPandas()["label"]).mean() > 0.9
+
+
+@pytest.mark.parametrize("least,most", [(2.0, 0.8), (0.3, 0.6), (0.1, 0.15), (1.0, 1.0)])
+def test_document_limits_reach_spark_as_numbers(spark, least, most):
+    """As with shares, but Spark does not store the terms of all documents to count these."""
+    from pyspark.ml.feature import CountVectorizer
+
+    rows = [([f"w{k}" for k in range(10) if d >= k],) for d in range(10)]
+    docs = spark.createDataFrame(rows, "terms array<string>")
+    plain = CountVectorizer(inputCol="terms", outputCol="n", vocabSize=50, minDF=least)
+    plain = plain.setMaxDF(most) if most < 1.0 else plain
+    ours = texts.counting_vectorizer(docs, "terms", "n", 50, least, most)
+    assert ours.getMinDF() >= 1.0 and ours.getMaxDF() >= 1.0
+    assert sorted(ours.fit(docs).vocabulary) == sorted(plain.fit(docs).vocabulary)
