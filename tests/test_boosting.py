@@ -206,3 +206,17 @@ def test_paths_through_trees_match_steps(depth):
 def test_levels_send_the_driver_best_splits_only():
     """Hundreds of levels of wide sums stay below a gigabyte in all."""
     assert 1000 * B.DIRECT_BYTES < 1_000_000_000
+
+
+@pytest.mark.parametrize("loss", ["squared", "logistic"])
+def test_sums_travel_for_the_bins_there_are(loss):
+    """Three features with 2, 256 and 1 bins: what is packed comes back, and weighs as much as they need."""
+    level = B.Level(loss, 1, [B.Fit(B.Boosting())], 0, 0, [], widths=[2, 256, 1])
+    level.active[0], level.columns[0] = [0], np.array([1, 2])
+    made = np.zeros((3, 2, B.BINS))
+    made[:, 0], made[:, 1, 0] = np.arange(3 * B.BINS).reshape(3, -1), [7, 8, 9]
+    if loss == "squared":
+        made[1] = made[2]
+    packed = level.packed(0, 0, made)
+    assert packed.nbytes == level.size() == 257 * (16 if loss == "squared" else 24)
+    assert (level.unpacked(0, 0, packed) == made).all()
