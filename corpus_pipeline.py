@@ -20,7 +20,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: SimHash and MinHash candidates, five-word shingles, similarity 0.8 or more."""
     return near.keep_one(docs)
 
 

@@ -1,6 +1,7 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from MinHash: 30 bands of 5 minima, so a pair at similarity 0.8 shares a band but for
+Candidates come from the SimHash of operator 4 over five-word shingles (fingerprints that differ in at most
+2 bits) and from MinHash, which reaches down to 0.8: 30 bands of 5 minima, so a pair at similarity 0.8 shares a band but for
 about 7 in a million. Every link is confirmed by the exact similarity of the two texts. First each member
 of a band is held against the band's first one; what these stars leave apart is compared pair by pair
 inside the band's task, by the minima and then by the texts, and gives links, not pairs. Equal sets are
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from lumenframe.llm.common import append_struct, texts_of
 from lumenframe.llm.components import connected_components
-from lumenframe.llm.simhash import first_of_each, with_components
+from lumenframe.llm.simhash import fingerprint, fingerprint_links, first_of_each, with_components
 from lumenframe.llm.sketches import shingle_hashes
 from lumenframe.session import checkpoint
 
@@ -54,7 +55,7 @@ def minima(hashes: np.ndarray) -> np.ndarray:
 
 
 def _marks(text: bytes, shingle: int) -> dict:
-    """The set's key, the keys of its bands (none without words) and one byte of each minimum."""
+    """The set's key, the keys of its bands (none without words), one byte of each minimum, and the text's SimHash."""
     held = shingles(text, shingle)
     key = xxhash.xxh64_intdigest(held.tobytes(), 42)
     least = minima(held)
@@ -64,7 +65,8 @@ def _marks(text: bytes, shingle: int) -> dict:
         total = mixed.sum(axis=1, dtype=np.uint64)
         keys = (total ^ (total >> np.uint64(32))).view(np.int64).tolist()
     fp = int(np.uint64(key).astype(np.int64))
-    return {"fp": fp, "bands": keys, "minima": (least >> np.uint64(20)).astype(np.uint8).tobytes()}
+    marks = (least >> np.uint64(20)).astype(np.uint8).tobytes()
+    return {"fp": fp, "bands": keys, "minima": marks, "print": fingerprint(text, shingle)}
 
 
 _MARKS = T.StructType(
@@ -72,10 +74,23 @@ _MARKS = T.StructType(
         T.StructField("fp", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
         T.StructField("minima", T.BinaryType()),
+        T.StructField("print", T.LongType()),
     ]
 )
 
 
+def simhash_stars(sets: DataFrame) -> DataFrame:
+    """Candidates (a, b) among ``sets`` (fp, bands, print) with words: equal or close SimHashes, as stars."""
+    worded = sets.where(F.size("bands") > 0)
+    first = checkpoint(worded.groupBy("print").agg(F.min("fp").alias("first")))
+    equal = worded.join(first, "print").where("fp <> first").select(F.col("fp").alias("a"), F.col("first").alias("b"))
+    links = fingerprint_links(first.select(F.col("print").alias("fp")))
+    ends = [first.select(F.col("print").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b")]
+    close = links.join(ends[0], "a").join(ends[1], "b")
+    close = close.select(F.greatest("first_a", "first_b").alias("a"), F.least("first_a", "first_b").alias("b"))
+    return equal.unionByName(close)
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
 
@@ -167,16 +182,18 @@ def near_copies(
     prints = checkpoint(marked.select("doc_id", "row", "marks.*"))
     sets = prints.groupBy("fp").agg(
         F.min("doc_id").alias("least"),
-        F.min(F.struct("row", "bands", "minima")).alias("one"),
+        F.min(F.struct("row", "bands", "minima", "print")).alias("one"),
     )
     sets = checkpoint(sets.select("fp", "least", "one.*"))
 
     placed = sets.select("fp", F.explode("bands").alias("band"))
     shared = placed.groupBy("band").agg(F.min("fp").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = checkpoint(placed.join(shared, "band").where("fp <> first"))
-    stars = members.select(F.col("fp").alias("a"), F.col("first").alias("b")).distinct()
+    stars = members.select(F.col("fp").alias("a"), F.col("first").alias("b")).unionByName(simhash_stars(sets))
+    stars = checkpoint(stars.distinct())
 
-    named = members.select("fp").unionByName(members.select(F.col("first").alias("fp"))).distinct()
+    named = members.select("fp").unionByName(stars.select(F.col("a").alias("fp")))
+    named = named.unionByName(stars.select(F.col("b").alias("fp"))).distinct()
     wanted = sets.join(named, "fp").select("fp", "row")
     texts = base.select("row", "text").join(wanted, "row").groupBy("fp").agg(F.first("text").alias("text"))
     texts = checkpoint(texts)

@@ -94,3 +94,15 @@ def test_odd_rows(odd_docs, no_docs):
     assert got[1] == got[4] == {1} and got[2] == got[3] == got[8] == {2} and got[None] == {None}
     assert N.keep_one(odd_docs).columns == odd_docs.columns
     assert N.keep_one(no_docs).count() == 0
+
+
+def test_simhash_finds_candidates_by_itself(spark):
+    """Long texts that differ in a word have SimHashes within two bits or equal ones; other texts are no candidates."""
+    words = [f"w{k}" for k in np.random.default_rng(5).integers(0, 5000, 3000)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(reversed(words)), "", "   "]
+    marks = [N._marks(t.encode(), 5) for t in texts]
+    rows = [(m["fp"], m["bands"], m["print"]) for m in marks]
+    assert bin((rows[0][2] ^ rows[1][2]) & ((1 << 64) - 1)).count("1") <= 2
+    sets = spark.createDataFrame(rows[:4], "fp long, bands array<long>, print long")
+    got = {(r["a"], r["b"]) for r in N.simhash_stars(sets).collect()}
+    assert got == {(max(rows[0][0], rows[1][0]), min(rows[0][0], rows[1][0]))}
