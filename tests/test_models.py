@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -295,3 +296,31 @@ def test_supervised_detector_finds_separable_fraud(clouds):
     rows = ml.scored(ml.logistic(weighted, weight="weight").fit(weighted), test)
     assert ev.roc_auc(ev.score_counts(rows, "label", "positive")).first()[0] > 0.9
     assert ev.binary_metrics(rows, "label", "prediction").first()["recall"] > 0.5
+
+
+def test_short_vectors_meet_the_points_of_near_boxes_only():
+    rng = np.random.default_rng(3)
+    hours = rng.integers(0, 5, 1500)
+    x = np.stack([rng.integers(0, 400, 1500) / 20.0, np.sin(hours), np.cos(hours)], axis=1)
+    x[7] = np.nan
+    ids = np.arange(1500)
+    found, met = anomaly._Nearest(ids, 5), []
+    tile = found._tile
+    found._tile = lambda at, xq, p, xp: (met.append(len(xq) * len(xp)), tile(at, xq, p, xp))
+    found.meet(ids, x, ids, x, 4096)
+    assert sum(met) < 0.5 * len(x) ** 2
+    distance = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(distance, np.inf)
+    for q in np.delete(ids, 7)[:300]:
+        best = np.lexsort((ids, np.round(distance[q], 12)))[:5]
+        assert found.points[q].tolist() == best.tolist()
+
+
+def test_one_class_steps_add_up_random_features_by_batch():
+    x = np.random.default_rng(1).normal(size=(40, 3))
+    z = ml.fourier_features(x, 16, 0.5, 42)
+    w, batch = z.mean(axis=0), pa.RecordBatch.from_pydict({"x": pa.array(x.tolist())})
+    (got,) = anomaly._outside_sums(iter([batch.slice(0, 25), batch.slice(25)]), w, 0.1, 0.5, 42)
+    outside = z @ w < 0.1
+    assert got.column("n").to_pylist() == [outside.sum()]
+    assert np.allclose(got.column("s").to_pylist()[0], z[outside].sum(axis=0))
