@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
@@ -18,6 +18,8 @@ from lumenframe.session import checkpoint
 
 #: Rows from which the first centres are drawn; everything else reads all rows.
 START_ROWS = 4096
+#: Rows whose distances are taken at once: they stay in the cache of a core.
+CACHED_ROWS = 2048
 
 
 @dataclass(frozen=True)
@@ -55,13 +57,21 @@ def first_centers(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray
 
 def step_sums(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """For each centre the sums of its rows, their number and their squared distances (centres x (d + 2))."""
-    distance = np.stack([((x - c) ** 2).sum(axis=1) for c in centers], axis=1)
-    owner = distance.argmin(axis=1)
+    if x.shape[1] > 7 or np.isnan(x).any() or np.isnan(centers).any():
+        distance = np.stack([((x - c) ** 2).sum(axis=1) for c in centers], axis=1)
+        owner, nearest = distance.argmin(axis=1), distance.min(axis=1)
+    else:  # whole columns: numpy sums so few squares one after the other, too
+        columns = np.ascontiguousarray(x.T)
+        owner, nearest = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
+        for i, c in enumerate(centers):
+            distance = sum((column - v) ** 2 for column, v in zip(columns, c))
+            np.copyto(owner, i, where=distance < nearest)
+            nearest = np.minimum(nearest, distance)
     out = np.zeros((len(centers), x.shape[1] + 2))
     for j in range(x.shape[1]):
         out[:, j] = np.bincount(owner, x[:, j], len(centers))
     out[:, -2] = np.bincount(owner, minlength=len(centers))
-    out[:, -1] = np.bincount(owner, distance.min(axis=1), len(centers))
+    out[:, -1] = np.bincount(owner, nearest, len(centers))
     return out
 
 
@@ -69,16 +79,19 @@ def _steps(rows: DataFrame, fits: dict[int, Centers]) -> dict[int, np.ndarray]:
     """One pass over all rows: the sums of every fit. Tasks add up first; a row per task and fit travels."""
     centers = {i: f.centers for i, f in fits.items()}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            if not batch.empty:
-                x = np.stack(batch["x"].to_numpy()).astype(float)
+            values = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(float)
+            x = values.reshape(batch.num_rows, -1)
+            for first in range(0, len(x), CACHED_ROWS):
+                part = x[first : first + CACHED_ROWS]
                 for i, c in centers.items():
-                    sums[i] = sums.get(i, 0) + step_sums(x, c)
-        yield pd.DataFrame({"fit": list(sums), "sums": [v.ravel().tolist() for v in sums.values()]})
+                    sums[i] = sums.get(i, 0) + step_sums(part, c)
+        made = [pa.array(list(sums), pa.int32()), pa.array([v.ravel().tolist() for v in sums.values()], pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(made, names=["fit", "sums"])
 
-    parts = rows.mapInPandas(run, "fit int, sums array<double>")
+    parts = rows.mapInArrow(run, "fit int, sums array<double>")
     found = parts.groupBy("fit").agg(Summarizer.sum(array_to_vector("sums")).alias("sums")).collect()
     return {r["fit"]: r["sums"].toArray().reshape(len(centers[r["fit"]]), -1) for r in found}
 

@@ -324,3 +324,19 @@ def test_one_class_steps_add_up_random_features_by_batch():
     outside = z @ w < 0.1
     assert got.column("n").to_pylist() == [outside.sum()]
     assert np.allclose(got.column("s").to_pylist()[0], z[outside].sum(axis=0))
+
+
+def test_center_sums_hold_a_bounded_part_of_a_batch(spark, monkeypatch):
+    sizes = []
+    real = cluster.step_sums
+    monkeypatch.setattr(cluster, "step_sums", lambda x, c: (sizes.append(len(x)), real(x, c))[1])
+    batch = pa.RecordBatch.from_pydict({"x": pa.array([[float(i), 1.0] for i in range(5000)])})
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            (self.got,) = run(iter([batch]))
+            return spark.createDataFrame([(0, self.got.column("sums").to_pylist()[0])], schema)
+
+    centers = np.array([[0.0, 1.0], [5000.0, 1.0]])
+    sums = cluster._steps(Rows(), {0: cluster.Centers(centers)})[0]
+    assert max(sizes) <= cluster.CACHED_ROWS and sums[:, -2].sum() == 5000
