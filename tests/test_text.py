@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
@@ -223,3 +224,9 @@ def test_document_limits_reach_spark_as_numbers(spark, least, most):
     ours = texts.counting_vectorizer(docs, "terms", "n", 50, least, most)
     assert ours.getMinDF() >= 1.0 and ours.getMaxDF() >= 1.0
     assert sorted(ours.fit(docs).vocabulary) == sorted(plain.fit(docs).vocabulary)
+
+
+def test_documents_of_an_arrow_batch_lie_end_to_end():
+    rows = {"index": pa.array([[2, 5], [], [1]], pa.list_(pa.int32())), "weight": pa.array([[0.5, 1.0], [], [2.0]])}
+    index, weight, owner = fac.flat_batch()(pa.RecordBatch.from_pydict(rows).slice(1))
+    assert (index.tolist(), weight.tolist(), owner.tolist()) == ([1], [2.0], [1])
