@@ -1,10 +1,14 @@
 """Readers, writers, segmentation and small column helpers."""
 
+from pathlib import Path
+
 import pytest
 
 from lumenframe.functions import columns as fx
 from lumenframe.operators import rfm as seg
 from lumenframe.operators.joins import small_or_shuffled
+from lumenframe.plans import files
+from lumenframe.session import shared_folder
 from lumenframe.sources import readers, writers
 
 
@@ -95,3 +99,12 @@ def test_large_side_tables_are_not_broadcast(spark):
     small = rows.join(small_or_shuffled(side), "id")._jdf.queryExecution().optimizedPlan().toString()
     large = rows.join(small_or_shuffled(side, max_rows=10), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in small and "broadcast" not in large
+
+
+def test_messages_are_written_by_all_cores(spark, tmp_path):
+    rows = [(i, f"text {i}", "en" if i % 2 else "de") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    files.a7_read_corpus(spark, str(tmp_path)).collect()
+    folder = max(Path(shared_folder(spark)).glob("lumenframe-corpus-*"), key=lambda p: p.stat().st_mtime)
+    names = [p.name for p in folder.rglob("part-*.txt")]
+    assert len(names) == 40 and len({n.split("-")[1] for n in names}) > 1
