@@ -82,6 +82,8 @@ def _steps(rows: DataFrame, fits: dict[int, Centers]) -> dict[int, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
+            if not batch.num_rows:
+                continue
             values = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(float)
             x = values.reshape(batch.num_rows, -1)
             for first in range(0, len(x), CACHED_ROWS):
