@@ -340,3 +340,14 @@ def test_center_sums_hold_a_bounded_part_of_a_batch(spark, monkeypatch):
     centers = np.array([[0.0, 1.0], [5000.0, 1.0]])
     sums = cluster._steps(Rows(), {0: cluster.Centers(centers)})[0]
     assert max(sizes) <= cluster.CACHED_ROWS and sums[:, -2].sum() == 5000
+
+
+def test_blocks_of_the_exact_search_cost_few_copies():
+    def copies(queries, points):
+        n_q, n_p = anomaly._block_counts(queries, points, 1024)
+        assert n_q * n_p >= min(anomaly.LEAST_PARTS, -(-queries // 1024))
+        assert max(-(-queries // n_q), -(-points // n_p)) <= anomaly.TASK_ROWS
+        return (queries * n_p + points * n_q) / points
+
+    assert copies(10, 10) == 2 and copies(9_600, 9_600) <= 11  # as many as before: one block of points
+    assert copies(96_000, 96_000) <= 18 and copies(576_000, 576_000) <= 18 and copies(144_000, 576_000) <= 7
