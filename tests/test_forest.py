@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumenframe.operators import forest as fo
 from lumenframe.operators import models as ml
@@ -77,7 +78,8 @@ def test_trees_equal_plain_growth(rows, numbers, classes):
     x, y, c = numbers
     estimator = fo.Forest(bool(classes), "class" if classes else "label", numTrees=3, maxDepth=4, minInstancesPerNode=3)
     model = estimator.fit(rows)
-    keys = rows.select("id", fo.sampling.split_key("id").alias("s")).orderBy("id").toPandas()["s"].to_numpy()
+    label = "class" if classes else "label"
+    keys = rows.selectExpr("id", f"pmod(xxhash64(id, features, {label}), 4294967296) s").orderBy("id").toPandas()["s"].to_numpy()
     cells, table = binned(x, model.edges), fo._poisson_table()
     labels, tried = (c, 3) if classes else (y - model.middle, 5)
     for t, tree in enumerate(model.trees):
@@ -143,3 +145,9 @@ def test_rows_without_label_are_left_out_and_equal_labels_give_one_leaf(rows, sp
     assert model.transform(same).selectExpr("min(prediction)", "max(prediction)").first()[:] == (7.5, 7.5)
     with pytest.raises(ValueError):
         ml.forest_regressor(2, 3).fit(rows.limit(0))
+
+
+def test_rows_without_ids_are_drawn_one_by_one(rows, numbers):
+    model = ml.forest_regressor(8, 4).fit(rows.withColumn("id", F.lit(None).cast("long")))
+    sizes = [t.sums[0, 0] for t in model.trees]
+    assert all(300 < n < 500 for n in sizes) and len(set(sizes)) > 1
