@@ -135,10 +135,7 @@ def a7_read_corpus(spark, sf):
     )
     folder = scratch_path(spark, "corpus")
     documents = readers.spread(read_table(spark, sf, "documents"))
-    messages = documents.select(message.alias("value"), F.col("lang").alias("category"))
-    # Tasks move their files into the new folder themselves; by default the driver moves them one by one.
-    committed = messages.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
-    committed.option("maxRecordsPerFile", 1).partitionBy("category").text(folder)
+    writers.write_messages(documents.select(message.alias("value"), F.col("lang").alias("category")), folder)
     read = readers.read_corpus(spark, folder, ["category=en", "category=de"])
     body = F.regexp_extract("text", r"(?s)\A\[\[\[(\d+)\]\]\]\n--\n\(\(\((.*)\)\)\)\z", 2)
     return read.select(

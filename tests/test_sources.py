@@ -1,5 +1,6 @@
 """Readers, writers, segmentation and small column helpers."""
 
+import gzip
 from pathlib import Path
 
 import pytest
@@ -108,3 +109,21 @@ def test_messages_are_written_by_all_cores(spark, tmp_path):
     folder = max(Path(shared_folder(spark)).glob("lumenframe-corpus-*"), key=lambda p: p.stat().st_mtime)
     names = [p.name for p in folder.rglob("part-*.txt")]
     assert len(names) == 40 and len({n.split("-")[1] for n in names}) > 1
+
+
+def test_a_task_reads_many_messages(spark, tmp_path):
+    rows = spark.range(1500).selectExpr("cast(id as string) AS value", "if(id % 3 = 0, 'b/c', 'a') AS category").repartition(3)
+    folder = writers.write_messages(rows, f"{tmp_path}/mes sages")
+    df = readers.read_corpus(spark, folder, strip=False)
+    assert df.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert {r["text"] for r in df.collect()} == {f"{k}\n" for k in range(1500)}
+    with pytest.raises(FileExistsError):
+        writers.write_messages(rows, folder)
+
+
+def test_compressed_messages_are_unpacked(spark, tmp_path):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "1.gz").write_bytes(gzip.compress(b"new words"))
+    (tmp_path / "one" / "2").write_text("old words")
+    got = {(r["category"], r["text"]) for r in readers.read_corpus(spark, str(tmp_path)).collect()}
+    assert got == {("one", "new words"), ("one", "old words")}
