@@ -220,3 +220,28 @@ def test_sums_travel_for_the_bins_there_are(loss):
     packed = level.packed(0, 0, made)
     assert packed.nbytes == level.size() == 257 * (16 if loss == "squared" else 24)
     assert (level.unpacked(0, 0, packed) == made).all()
+
+
+def test_small_rows_grow_fits_in_tasks_as_in_jobs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 3))
+    y = x[:, 0] * 2 + (x[:, 1] > 0.3) + rng.normal(size=3000) / 4
+    data = [(k, x[k].tolist(), float(y[k]), int(k % 3)) for k in range(3000)]
+    df = spark.createDataFrame(data, "id long, features array<double>, label double, fold int").repartition(3)
+    settings = B.Boosting(6, 3, 0.2, 0.7, 0.7)
+    fits = [B.Fit(settings), B.Fit(settings, 1), B.Fit(B.Boosting(9, 2), 2, 0.5)]
+    grow = B._grow
+
+    def no_jobs(*_):
+        raise AssertionError("a job for a level")
+
+    monkeypatch.setattr(B, "_grow", no_jobs)
+    alone = B.fit_boosted(df, fits, fold="fold")
+    monkeypatch.setattr(B, "_grow", grow)
+    monkeypatch.setattr(B, "ALONE_BYTES", 0)
+    dealt = B.fit_boosted(df, fits, fold="fold")
+    for one, other in zip(alone, dealt, strict=True):
+        assert np.allclose(one.losses, other.losses) and len(one.trees) == len(other.trees)
+        for a, b in zip(one.trees, other.trees, strict=True):
+            assert (a[0].feature == b[0].feature).all() and (a[0].bin == b[0].bin).all()
+            assert np.allclose(a[0].value, b[0].value)
