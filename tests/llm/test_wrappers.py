@@ -136,3 +136,17 @@ def test_repeated_ends_of_articles_are_template(spark):
     assert all(got[k] == own(k) for k in range(4))
     assert all(got[k] == [*own(9), "Get our letter each day"] for k in range(10, 14))
     assert all(got[k] == [*shared, f"End {k}"] for k in range(20, 24))
+
+
+def test_slots_around_an_article_are_kept(spark):
+    def page(k):
+        told = f"<div><p>Lead {k} of the story</p></div>" if k else ""
+        menu = "<div><p>Our <b>daily</b> paper</p><p>All rights kept</p></div>"
+        return (k, f"http://a.org/{k}", f"{menu}<h1>Title {k}</h1>{told}<article><p>Story {k} is told.</p></article><p>By writer {k}</p>{menu}")
+
+    rows = [page(k) for k in range(1, 6)] + [(9, "http://b.org/9", page(9)[2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract_text(pages).collect()}
+    for k in range(1, 6):
+        assert got[k] == f"Title {k}\nLead {k} of the story\nStory {k} is told.\nBy writer {k}"
+    assert got[9] == "Story 9 is told."  # of a host with one page nothing is known
