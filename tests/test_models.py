@@ -351,3 +351,19 @@ def test_blocks_of_the_exact_search_cost_few_copies():
 
     assert copies(10, 10) == 2 and copies(9_600, 9_600) <= 11  # as many as before: one block of points
     assert copies(96_000, 96_000) <= 18 and copies(576_000, 576_000) <= 18 and copies(144_000, 576_000) <= 7
+
+
+def test_comparison_scores_every_regressor_over_the_folds(spark, tmp_path):
+    from lumenframe.plans import training
+
+    rng = np.random.default_rng(3)
+    lines = [(k, 1 + k % 7, 1 + k % 3, float(1 + k % 50), float(100 * (1 + k % 50) + rng.normal()), k % 5 / 50, k % 4 / 50) for k in range(400)]
+    names = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    items = [(k, 3 * k, 10.0 + k) for k in range(1, 8)]
+    spark.createDataFrame(items, "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    got = training.m20_regressor_comparison(spark, str(tmp_path)).toPandas()
+    assert set(got["model"]) == set(training.REGRESSORS) and got["cv_mean"].notna().all()
+    assert got.loc[got["best"], "cv_mean"].tolist() == [got["cv_mean"].max()]
+    scores = training.m15_cross_validation(spark, str(tmp_path)).toPandas().set_index("model")["mean"]
+    assert np.allclose(got.set_index("model")["cv_mean"].sort_index(), scores.sort_index())
