@@ -230,3 +230,32 @@ def test_documents_of_an_arrow_batch_lie_end_to_end():
     rows = {"index": pa.array([[2, 5], [], [1]], pa.list_(pa.int32())), "weight": pa.array([[0.5, 1.0], [], [2.0]])}
     index, weight, owner = fac.flat_batch()(pa.RecordBatch.from_pydict(rows).slice(1))
     assert (index.tolist(), weight.tolist(), owner.tolist()) == ([1], [2.0], [1])
+
+
+def test_coherence_compares_whole_fits(spark, tmp_path, monkeypatch):
+    from lumenframe.plans import training
+
+    rows = [(k, " ".join(["apple pear plum", "engine wheel brake"][k % 2].split()[: 2 + k % 3 // 2]), "en", "s", 9) for k in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    asked = {}
+
+    def noted(name, fit):
+        def run(rows, size, k, iterations):
+            asked[name] = iterations
+            return fit(rows, size, min(k, 2), iterations=2)
+
+        return run
+
+    for name in ("fit_nmf", "fit_lsa"):
+        monkeypatch.setattr(training.fac, name, noted(name, getattr(fac, name)))
+    got = training.t6_model_coherence(spark, str(tmp_path))
+    assert got.count() == 2 and asked == {"fit_nmf": 500, "fit_lsa": 20}
+
+
+def test_small_sums_of_a_pass_meet_on_the_driver_alike(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, [k % 3, 3 + k % 2], [1.0 + k, 2.0]) for k in range(40)], "doc_id long, index array<int>, weight array<double>")
+    rows = rows.repartition(3).cache()
+    direct = fac.fit_nmf(rows, 5, 2, iterations=4)
+    monkeypatch.setattr(fac, "DIRECT_BYTES", 0)
+    dealt = fac.fit_nmf(rows, 5, 2, iterations=4)
+    assert np.allclose(direct[0], dealt[0]) and np.allclose(direct[1], dealt[1])
